@@ -41,3 +41,47 @@ BRAND_BASKETS = """baskets AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# ---- SQL twins of the text functions (DuckDB / RE2 syntax) ----
+from cartwheel.functions.text import LEMMAS, STOP_WORDS, WS  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+STOP_LIST_SQL = "[" + ", ".join(_q(w) for w in STOP_WORDS) + "]"
+
+
+def sql_clean_title(e: str) -> str:
+    return (f"regexp_replace(regexp_replace(lower({e}), '^[{WS}]+|[{WS}]+$', '', 'g'), "
+            f"'[^a-zA-Z0-9 ]', '', 'g')")
+
+
+def sql_letter_tokens(e: str) -> str:
+    return (f"list_filter(regexp_split_to_array(regexp_replace(lower({e}), '[^a-z{WS}]', '', 'g'), "
+            f"'[{WS}]+'), lambda t: t <> '')")
+
+
+def sql_clean_text_stop(e: str) -> str:
+    return (f"array_to_string(list_filter({sql_letter_tokens(e)}, "
+            f"lambda t: NOT list_contains({STOP_LIST_SQL}, t)), ' ')")
+
+
+def sql_ws_tokens(e: str) -> str:
+    return f"list_filter(regexp_split_to_array({e}, '[{WS}]+'), lambda t: t <> '')"
+
+
+def sql_safe_text(e: str) -> str:
+    return f"coalesce(nullif({e}, ''), '')"
+
+
+def sql_stem3(e: str) -> str:
+    return f"array_to_string(list_transform({sql_ws_tokens(sql_safe_text(e))}, lambda t: substr(t, 1, 3)), ' ')"
+
+
+def sql_lemmatize(e: str) -> str:
+    cases = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in sorted(LEMMAS.items()))
+    return (f"array_to_string(list_transform({sql_ws_tokens(sql_safe_text(e))}, "
+            f"lambda t: CASE t {cases} ELSE t END), ' ')")
