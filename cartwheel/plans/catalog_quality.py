@@ -1 +1,70 @@
-"""Queries (filled in below)."""
+"""Step 4 queries: data-quality checks Q1–Q11."""
+
+from pyspark.sql import functions as F
+
+from cartwheel.operators import quality as Q
+from cartwheel.operators import similarity as sim
+from cartwheel.plans import oracle_views as V
+from cartwheel.plans.registry import register
+from cartwheel.sources import schemas, tables
+
+_REVIEW_COLS = ["review_id", "product_id", "brand_name", "review_title", "review_text", "lang",
+                "product_title", "product_rating", "review_label", "product_rating_count", "price"]
+
+
+@register("null_fraction", V.with_(V.REVIEWS) + "\nUNION ALL\n".join(
+    f"SELECT 'null_fraction' AS \"check\", '{c}' AS target, "
+    f"CASE WHEN v IS NULL THEN 'empty' WHEN v > 0.5 THEN 'fail' ELSE 'pass' END AS status, "
+    f"v AS value, 0.5 AS threshold, CAST(NULL AS VARCHAR) AS detail "
+    f"FROM (SELECT AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS v FROM reviews)"
+    for c in _REVIEW_COLS))
+def null_fraction(spark, sf_dir):
+    return Q.null_fractions(tables.reviews(spark, sf_dir), 0.5)
+
+
+@register("duplicate_count", """
+SELECT CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_distinct, CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicates
+FROM (SELECT text, COUNT(*) AS n FROM documents GROUP BY text)""")
+def duplicate_count(spark, sf_dir):
+    return Q.duplicate_count(tables.table(spark, sf_dir, "documents"), ["text"])
+
+
+@register("range_checks", V.with_(V.INTERACTIONS, """agg AS (
+  SELECT COUNT(CASE WHEN event_time IS NOT NULL AND (CAST(event_time AS DATE) < DATE '2024-01-01'
+                     OR CAST(event_time AS DATE) > DATE '2024-01-31') THEN 1 END) AS bad_0,
+         COUNT(event_time) AS n_0,
+         COUNT(CASE WHEN price IS NOT NULL AND (price < 0.0 OR price > 50.0) THEN 1 END) AS bad_1,
+         COUNT(price) AS n_1
+  FROM interactions
+)""") + """
+SELECT 'date_range' AS "check", 'event_time' AS target, CASE WHEN bad_0 = 0 THEN 'pass' ELSE 'fail' END AS status,
+       CAST(bad_0 AS DOUBLE) AS value, CAST(n_0 AS DOUBLE) AS threshold, '2024-01-01..2024-01-31' AS detail FROM agg
+UNION ALL
+SELECT 'numeric_range', 'price', CASE WHEN bad_1 = 0 THEN 'pass' ELSE 'fail' END,
+       CAST(bad_1 AS DOUBLE), CAST(n_1 AS DOUBLE), '0.0..50.0' FROM agg""")
+def range_checks(spark, sf_dir):
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    return Q.range_checks(ev, date_rules={"event_time": ("2024-01-01", "2024-01-31")},
+                          numeric_rules={"price": (0.0, 50.0)})
+
+
+@register("row_count", "SELECT 'row_count' AS \"check\", CAST(NULL AS VARCHAR) AS target, "
+          "CASE WHEN COUNT(*) >= 1 THEN 'pass' ELSE 'fail' END AS status, CAST(COUNT(*) AS DOUBLE) AS value, "
+          "1.0 AS threshold, CAST(NULL AS VARCHAR) AS detail FROM events")
+def row_count(spark, sf_dir):
+    return Q.row_count(tables.table(spark, sf_dir, "events"), 1)
+
+
+@register("schema_check")
+def schema_check(spark, sf_dir):
+    """Q1/Q4 against the declared interaction schema (metadata only: rows-only check)."""
+    ev = tables.interactions(spark, sf_dir)
+    return Q.schema_check(ev, schemas.INTERACTIONS).unionByName(
+        Q.type_check(ev, {"event_time": "timestamp", "price": "double", "product_id": "int"}))
+
+
+@register("cosine_output_check")
+def cosine_output_check(spark, sf_dir):
+    """Q8 on the wide cosine recommendations."""
+    wide = sim.cosine_wide(sim.cosine_topk(tables.order_baskets(spark, sf_dir)))
+    return Q.cosine_output_check(wide, 10, "item")

@@ -39,7 +39,11 @@ def _norm(v):
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime().replace(tzinfo=None)
+        v = v.to_pydatetime().replace(tzinfo=None)
+        return v.date() if v == v.replace(hour=0, minute=0, second=0, microsecond=0) else v
+    import datetime as _dt
+    if isinstance(v, _dt.datetime) and v == v.replace(hour=0, minute=0, second=0, microsecond=0):
+        return v.date()
     return v
 
 
