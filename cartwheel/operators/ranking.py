@@ -5,6 +5,8 @@ group into one task.  Here rows are range-partitioned on ``(group, order)``,
 numbered inside each partition, and shifted by the row counts of earlier
 partitions of the same group.  The per-partition count table has at most
 ``#partitions + #groups`` rows, so every step is bounded per task.
+The range-partitioned rows are checkpointed (reliable checkpoint in
+``spark.checkpoint.dir``) so both passes see the same partitions.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.session import checkpoint_dir
+
 
 def global_row_number(df: DataFrame, order_cols: list, group_cols: list | None = None,
                       out: str = "rn", num_partitions: int | None = None) -> DataFrame:
@@ -24,6 +28,12 @@ def global_row_number(df: DataFrame, order_cols: list, group_cols: list | None =
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    # Range bounds are sampled with a seed that changes per evaluation, and the
+    # two passes below (counts, numbering) may be planned with different
+    # column pruning, so the partitioned rows are materialised once in the
+    # shared checkpoint folder (this also cuts the lineage).
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     stats = ranged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     # Window over the tiny stats table: rows of one group across partitions.
