@@ -1 +1,137 @@
-"""Queries (filled in below)."""
+"""Step 8 queries: splits, interaction preparation, ALS and FM recommenders (M8, M9a–i, E5, E6).
+
+Model outputs depend on floating-point training order, so ALS/FM queries are
+rows-only (no oracle); their properties are covered by tests.
+"""
+
+from pyspark.sql import functions as F
+
+from cartwheel.functions import scalar as S
+from cartwheel.operators import clean as C
+from cartwheel.operators import evaluate as EV
+from cartwheel.operators import factors as FA
+from cartwheel.operators.ranking import dense_codes
+from cartwheel.plans import oracle_views as V
+from cartwheel.plans.registry import register
+from cartwheel.sources import tables
+
+
+@register("stratified_split", V.with_(V.INTERACTIONS, """s AS (
+  SELECT event_id, CASE event_type WHEN 'purchase' THEN 3 WHEN 'cart' THEN 2 WHEN 'view' THEN 1 END AS score
+  FROM interactions
+)""", """r AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY score ORDER BY md5('42|' || CAST(event_id AS VARCHAR)), event_id) AS rn,
+         COUNT(*) OVER (PARTITION BY score) AS n
+  FROM s WHERE score IS NOT NULL
+)""") + "SELECT event_id, score, rn <= round_even(0.2 * n, 0) AS is_test FROM r")
+def stratified_split(spark, sf_dir):
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    scored = ev.select("event_id", S.engagement_score().alias("score")).where(F.col("score").isNotNull())
+    return FA.stratified_split(scored, "score", ["event_id"], 0.2, seed=42).select("event_id", "score", "is_test")
+
+
+def _ncf_rows(spark, sf_dir):
+    ev = C.valid_events(tables.interactions(spark, sf_dir, with_attributes=False))
+    return FA.ncf_interactions(ev, user="user_id", item="product_id")
+
+
+@register("ncf_prep", V.with_(V.INTERACTIONS, """x AS (
+  SELECT event_id, user_id AS "user", product_id AS item,
+         CASE WHEN event_type = 'purchase' THEN 2.0 WHEN event_type = 'cart' THEN 1.0 ELSE 0.0 END AS score
+  FROM interactions
+  WHERE event_type IN ('view', 'cart', 'remove_from_cart', 'purchase') AND user_id IS NOT NULL AND product_id IS NOT NULL
+)""", """uc AS (SELECT "user", CAST(ROW_NUMBER() OVER (ORDER BY "user") - 1 AS BIGINT) AS user_code FROM (SELECT DISTINCT "user" FROM x))""",
+    """ic AS (SELECT item, CAST(ROW_NUMBER() OVER (ORDER BY item) - 1 AS BIGINT) AS item_code FROM (SELECT DISTINCT item FROM x))""") + """
+SELECT x.event_id, x."user", x.item, CAST(x.score AS DOUBLE) AS score, uc.user_code, ic.item_code
+FROM x JOIN uc USING ("user") JOIN ic USING (item)""")
+def ncf_prep(spark, sf_dir):
+    """M9d: F7 scores with dense user/item codes (LabelEncoder order)."""
+    ev = C.valid_events(tables.interactions(spark, sf_dir, with_attributes=False))
+    x = ev.where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull()).select(
+        "event_id", F.col("user_id").alias("user"), F.col("product_id").alias("item"),
+        S.ncf_score().alias("score"))
+    return (x.join(dense_codes(x, "user", "user_code"), "user")
+             .join(dense_codes(x, "item", "item_code"), "item")
+             .select("event_id", "user", "item", "score", "user_code", "item_code"))
+
+
+@register("balanced_prep", V.with_(V.INTERACTIONS, """s AS (
+  SELECT event_id, user_id AS "user", product_id AS item,
+         CASE event_type WHEN 'purchase' THEN 3 WHEN 'cart' THEN 2 WHEN 'view' THEN 1 END AS score
+  FROM interactions WHERE user_id IS NOT NULL AND product_id IS NOT NULL
+)""", """r AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY score ORDER BY md5('42|' || CAST(event_id AS VARCHAR)), event_id) AS rn,
+         COUNT(*) OVER (PARTITION BY score) AS n
+  FROM s WHERE score IS NOT NULL
+)""") + """
+SELECT event_id, "user", item, score FROM r WHERE rn <= CASE WHEN score = 1 THEN round_even(0.1 * n, 0) ELSE n END""")
+def balanced_prep(spark, sf_dir):
+    """M9g: F8 scores with views down-sampled to 10% (exact, md5 order)."""
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    return FA.balanced_interactions(ev).select("event_id", "user", "item", "score")
+
+
+def _purchases(spark, sf_dir):
+    ev = C.of_type(tables.interactions(spark, sf_dir, with_attributes=False), "purchase")
+    return C.with_constant(ev, "product_quantity", 1).select(
+        F.col("user_session").alias("user"), F.col("product_id").alias("item"),
+        F.col("product_quantity").alias("score")).where(F.col("item").isNotNull())
+
+
+@register("als_user_recs")
+def als_user_recs(spark, sf_dir):
+    """M9a/b: implicit ALS (rank 10, 10 iterations, reg 0.1) on purchases, top-10 per session."""
+    _, ur, _ = FA.als_recommend(_purchases(spark, sf_dir), k=10)
+    return ur
+
+
+@register("als_item_recs")
+def als_item_recs(spark, sf_dir):
+    """Top-10 sessions per product."""
+    _, _, ir = FA.als_recommend(_purchases(spark, sf_dir), k=10)
+    return ir
+
+
+def _fm(spark, sf_dir, rows, max_iter=60):
+    return FA.fit_fm(rows, factor_size=16, max_iter=max_iter, step_size=0.05, reg=0.01)
+
+
+@register("fm_recs")
+def fm_recs(spark, sf_dir):
+    """M9e/f: factorisation-machine recommender, top-10 products per user."""
+    rows = _ncf_rows(spark, sf_dir)
+    model = _fm(spark, sf_dir, rows)
+    return FA.fm_recommend(model, spark, 10)
+
+
+@register("fm_eval")
+def fm_eval(spark, sf_dir):
+    """E5: RMSE and precision/recall at 1.5 on the training rows."""
+    rows = _ncf_rows(spark, sf_dir)
+    model = _fm(spark, sf_dir, rows)
+    pred = model.transform(rows).select(F.col("score").alias("label"), "prediction")
+    return EV.rmse(pred).join(EV.binary_precision_recall(pred, 1.5), how="inner")
+
+
+@register("fm_embedded_eval")
+def fm_embedded_eval(spark, sf_dir):
+    """M9h + E6: FM on the 80% stratified part of the balanced data; RMSE and
+    weighted P/R/F1 at 2 on the held-out 20%."""
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    bal = FA.balanced_interactions(ev)
+    split = FA.stratified_split(bal, "score", ["event_id"], 0.2, seed=42)
+    model = _fm(spark, sf_dir, split.where(~F.col("is_test")))
+    pred = model.transform(split.where(F.col("is_test"))).select(
+        F.col("score").cast("double").alias("label"), "prediction")
+    w = EV.weighted_prf(pred.select(S.binarize("label", 2).alias("label"),
+                                    S.binarize("prediction", 2).alias("prediction")))
+    return EV.rmse(pred).join(w, how="inner")
+
+
+@register("fm_embedded_recs")
+def fm_embedded_recs(spark, sf_dir):
+    """M9i: ``(user, item, rank)`` from the model trained on the 80% part."""
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    split = FA.stratified_split(FA.balanced_interactions(ev), "score", ["event_id"], 0.2, seed=42)
+    model = _fm(spark, sf_dir, split.where(~F.col("is_test")))
+    return FA.fm_recommend(model, spark, 10).select("user", "item", "rank")

@@ -1 +1,77 @@
-"""Queries (filled in below)."""
+"""Step 9 queries: topics, sentiment, topic engagement."""
+
+from pyspark.sql import functions as F
+
+from cartwheel.operators import clean as C
+from cartwheel.operators import features as FE
+from cartwheel.operators import textops as TO
+from cartwheel.plans import oracle_views as V
+from cartwheel.plans.registry import register
+from cartwheel.sources import tables
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(V._q(str(x)) for x in r) + ")" for r in rows)
+
+
+_TOPIC_LEX = _values([(t, lbl) for lbl, ts in TO.TOPIC_TERMS.items() for t in ts])
+_SENT_LEX = _values([(t, "POSITIVE") for t in TO.POSITIVE_TERMS] + [(t, "NEGATIVE") for t in TO.NEGATIVE_TERMS])
+
+TOPIC_CTE = V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_TOPIC_LEX})""",
+                    f"""toks AS (SELECT review_id, unnest({V.sql_letter_tokens('review_text')}) AS term FROM reviews)""",
+                    """hits AS (SELECT t.review_id, l.label, COUNT(*) AS c FROM toks t JOIN lex l USING (term)
+                  GROUP BY t.review_id, l.label)""",
+                    """tot AS (SELECT review_id, SUM(c) AS total FROM hits GROUP BY review_id)""",
+                    """kept AS (SELECT h.review_id, h.label, h.c / t.total AS share FROM hits h JOIN tot t USING (review_id)
+                  WHERE h.c / t.total > 0.4)""",
+                    """topics AS (
+  SELECT r.review_id, COALESCE(string_agg(k.label, '|' ORDER BY k.share DESC, k.label), '') AS topics
+  FROM reviews r LEFT JOIN kept k USING (review_id) GROUP BY r.review_id
+)""")
+
+
+@register("topic_tags", TOPIC_CTE + "SELECT review_id, topics FROM topics")
+def topic_tags(spark, sf_dir):
+    rv = tables.reviews(spark, sf_dir)
+    return rv.select("review_id", F.array_join(TO.extract_topics("review_text"), "|").alias("topics"))
+
+
+@register("sentiment", V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_SENT_LEX})""",
+                               f"""toks AS (SELECT review_id, unnest({V.sql_letter_tokens('review_text')}) AS term FROM reviews)""",
+                               """c AS (SELECT t.review_id, COUNT(CASE WHEN l.label = 'POSITIVE' THEN 1 END) AS pos,
+                COUNT(CASE WHEN l.label = 'NEGATIVE' THEN 1 END) AS neg
+         FROM toks t JOIN lex l USING (term) GROUP BY t.review_id)""") + """
+SELECT r.review_id,
+       CASE WHEN r.review_text IS NULL OR length(r.review_text) = 0 THEN NULL
+            WHEN COALESCE(pos, 0) >= COALESCE(neg, 0) THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment_label,
+       CASE WHEN r.review_text IS NULL OR length(r.review_text) = 0 THEN NULL
+            WHEN COALESCE(pos, 0) + COALESCE(neg, 0) = 0 THEN 0.5
+            ELSE ROUND(GREATEST(pos, neg) / (pos + neg), 9) END AS sentiment_score
+FROM reviews r LEFT JOIN c USING (review_id)""")
+def sentiment(spark, sf_dir):
+    rv = tables.reviews(spark, sf_dir).withColumn("s", TO.sentiment("review_text"))
+    return rv.select("review_id", F.col("s")[0]["label"].alias("sentiment_label"),
+                     F.round(F.col("s")[0]["score"], 9).alias("sentiment_score"))
+
+
+@register("topic_engagement", (TOPIC_CTE + """, joined AS (
+  SELECT r.review_id, r.product_id AS review_product_id, i.product_id AS cosmetic_product_id,
+         i.event_id, i.event_type, i.event_time
+  FROM reviews r JOIN mapping m ON m.product_id_reviews = r.product_id
+  JOIN interactions i ON i.product_id = m.product_id_events
+), ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_product_id, cosmetic_product_id ORDER BY event_time, event_id) AS rn
+  FROM joined
+), one AS (SELECT * FROM ranked WHERE rn = 1)
+SELECT k.label AS topic, o.event_type, COUNT(*) AS count
+FROM one o JOIN kept k ON k.review_id = o.review_id GROUP BY k.label, o.event_type""").replace(
+    "WITH ", "WITH " + V.INTERACTIONS + ",\n" + V.MAPPING + ",\n", 1))
+def topic_engagement(spark, sf_dir):
+    """M17 on the de-duplicated review↔event rows (D5 fixed with a deterministic pick)."""
+    rv = TO.process_reviews(tables.reviews(spark, sf_dir))
+    joined = FE.mapped_reviews(rv, tables.mapping(spark, sf_dir),
+                               tables.interactions(spark, sf_dir, with_attributes=False))
+    one = C.key_dedup(joined.select("review_product_id", "cosmetic_product_id", "event_time", "event_id",
+                                    "event_type", "topics"),
+                      ["review_product_id", "cosmetic_product_id"], ["event_time", "event_id"])
+    return TO.analyze_topics(one)
