@@ -1,0 +1,98 @@
+"""FP-Growth, multi-consequent rules (card C2) and evaluation metrics (card C3)."""
+
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartwheel.operators import baskets as B
+from cartwheel.operators import evaluate as EV
+
+BASKETS = [["a", "b", "c"], ["a", "b"], ["a", "c"], ["b", "c"], ["a", "b", "c", "d"], ["d"], ["a", "b"]]
+
+
+def _long(spark):
+    rows = [(i, it, 1.0) for i, items in enumerate(BASKETS) for it in items] + [(0, "a", 1.0)]
+    return spark.createDataFrame(rows, "basket int, item string, qty double")
+
+
+def test_itemsets_match_brute_force_and_anti_monotone(spark):
+    baskets = B.build_baskets(_long(spark))
+    model = B.fit_fpgrowth(baskets, min_support=0.25, min_confidence=0.1)
+    got = {tuple(r.items): r.freq for r in B.frequent_itemsets(model).collect()}
+    n, min_count = len(BASKETS), 2  # ceil(0.25 * 7)
+    exp = {}
+    items = sorted({i for b in BASKETS for i in b})
+    for size in range(1, 5):
+        for combo in itertools.combinations(items, size):
+            f = sum(1 for b in BASKETS if set(combo) <= set(b))
+            if f >= min_count:
+                exp[combo] = f
+    assert got == exp
+    for s, f in got.items():
+        for sub in itertools.combinations(s, len(s) - 1):
+            if sub:
+                assert got[sub] >= f
+
+
+def test_rules_with_lift_golden_arithmetic(spark):
+    # f{A}=159, f{B}=119, f{AB}=43 over N=32,400 baskets -> confidence 0.2704, lift ~73.6.
+    fi = spark.createDataFrame([(["5896178"], 159), (["5896174"], 119), (["5896174", "5896178"], 43)],
+                               "items array<string>, freq long")
+    rules = {(tuple(r.antecedent), tuple(r.consequent)): r for r in B.rules_with_lift(fi, 32400).collect()}
+    r = rules[(("5896178",), ("5896174",))]
+    assert round(r.confidence, 4) == 0.2704
+    assert round(r.lift, 1) == 73.6
+    assert abs(r.support - 43 / 32400) < 1e-12
+
+
+def test_rules_with_lift_all_splits(spark):
+    fi = spark.createDataFrame([(["a"], 4), (["b"], 4), (["c"], 4), (["a", "b"], 3), (["a", "c"], 3),
+                                (["b", "c"], 3), (["a", "b", "c"], 2)], "items array<string>, freq long")
+    rules = B.rules_with_lift(fi, 5, min_lift=0.0).collect()
+    assert len(rules) == 3 * 2 + 6  # pairs: 2 splits each; triple: 2^3 - 2
+    for r in rules:
+        assert abs(r.lift - r.confidence / ({1: 4, 2: 3}[len(r.consequent)] / 5)) < 1e-12
+
+
+def test_spark_association_rules_columns(spark):
+    model = B.fit_fpgrowth(B.build_baskets(_long(spark)), 0.25, 0.1)
+    assert B.association_rules(model).columns == ["antecedent", "consequent", "confidence", "lift", "support"]
+
+
+def test_precision_recall_at_k_hand_example(spark):
+    recs = spark.createDataFrame([("u1", "x", 1), ("u1", "y", 2), ("u1", "z", 3), ("u2", "x", 1),
+                                  ("u3", "q", 1)], "user string, item string, rank int")
+    truth = spark.createDataFrame([("u1", "x"), ("u1", "x"), ("u1", "w"), ("u2", "y"), ("u4", "x")],
+                                  "user string, item string")
+    r = EV.precision_recall_at_k(recs, truth, k=2).first()
+    # u1: hits 1 of 2 recs, truth rows 3; u2: 0/1; u4: no recs -> 0.
+    assert r.n_users == 3
+    assert abs(r.precision_at_k - (0.5 + 0 + 0) / 3) < 1e-12
+    assert abs(r.recall_at_k - (1 / 3) / 3) < 1e-12
+    d = EV.precision_recall_at_k(recs, truth, k=2, recall_denominator="distinct", population="recs").first()
+    assert d.n_users == 2 and abs(d.recall_at_k - 0.5 / 2) < 1e-12
+
+
+def test_weighted_prf_one_class_golden(spark):
+    # One class predicted everywhere with share 1/3 -> weighted P 0.111, R 0.333, F1 0.167.
+    df = spark.createDataFrame([(1, 1), (0, 1), (2, 1)], "label int, prediction int")
+    r = EV.weighted_prf(df).first()
+    assert round(r.weighted_precision, 3) == 0.111
+    assert round(r.weighted_recall, 3) == 0.333
+    assert round(r.weighted_f1, 3) == 0.167
+
+
+def test_rmse_and_binary(spark):
+    df = spark.createDataFrame([(2.0, 1.0), (0.0, 0.0), (1.0, 2.0)], "label double, prediction double")
+    assert abs(EV.rmse(df).first().rmse - (2 / 3) ** 0.5) < 1e-12
+    b = EV.binary_precision_recall(df, 1.5).first()
+    assert (b.precision, b.recall) == (0.0, 0.0)
+
+
+def test_metrics_long_and_best(spark):
+    m = spark.createDataFrame([("a", 10, 0.2, 0.5), ("b", 10, 0.3, 0.5)],
+                              "model_type string, top_k int, precision_at_k double, recall_at_k double")
+    best = {r.metric: r.model_type for r in EV.best_model(m).collect()}
+    assert best == {"precision_at_k": "b", "recall_at_k": "a"}
+    assert EV.metrics_long(m).count() == 4
