@@ -126,6 +126,22 @@ def word_frequencies(df: DataFrame, text: str, n: int = 20, tokens: Column | Non
                  .orderBy(F.desc("count"), F.asc("word")).limit(n))
 
 
+def lemma_word_counts(df: DataFrame, text: str, n: int = 20, stop_words=None, lemmas=None) -> DataFrame:
+    """A15 over the archived text features: the ``n`` most frequent lemmas of the
+    stop-word-free letter tokens.  Tokens are exploded first, so stop-word
+    filtering (hash-set ``InSet``) and the lemma lookup run as codegen'd column
+    expressions with a partial aggregate before the shuffle."""
+    lemmas = lemmas or TX.LEMMAS
+    keys = sorted(lemmas)
+    m = TX.lemma_map(lemmas)
+    w = F.col("w")
+    words = (df.select(F.explode(TX.letter_tokens(text)).alias("w"))
+               .where(~w.isin(list(stop_words or TX.STOP_WORDS)))
+               .select(F.when(w.isin(keys), F.element_at(m, w)).otherwise(w).alias("word")))
+    return (words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+                 .orderBy(F.desc("count"), F.asc("word")).limit(n))
+
+
 def pivot_counts(df: DataFrame, row: str, col: str, values: list, prefix: str) -> DataFrame:
     """Counts of ``row × col`` as a matrix; the column values are given so no
     extra job is needed to discover them, and absent cells are 0."""

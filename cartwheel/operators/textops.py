@@ -98,9 +98,53 @@ def sentiment(text, positive: list | None = None, negative: list | None = None)
         F.array(F.struct(label.alias("label"), score.alias("score"))))
 
 
+def _empty(type_str: str) -> Column:
+    return F.array().cast(type_str)
+
+
+def add_topics(df: DataFrame, tokens: str, out: str = "topics", threshold: float = 0.4,
+               terms: dict | None = None, labels: list | None = None) -> DataFrame:
+    """M10 on a token column, in staged projections: the lexicon hits are computed
+    once per row (Catalyst keeps the stage because the hits are referenced by
+    every label; higher-order functions are not common-subexpression
+    eliminated)."""
+    terms = terms or TOPIC_TERMS
+    labels = labels or TOPIC_LABELS
+    m, keys = _term_map(terms)
+    tmp = df.withColumn("_hits", F.transform(F.filter(tokens, lambda t: t.isin(keys)),
+                                             lambda t: F.element_at(m, t)))
+    tmp = tmp.withColumn("_n", F.size("_hits"))
+    shares = F.transform(
+        F.array(*[F.lit(lbl) for lbl in labels]),
+        lambda lbl: F.struct((-(F.size(F.filter("_hits", lambda h: h == lbl)) / F.col("_n"))).alias("k"),
+                             lbl.alias("label")))
+    tmp = tmp.withColumn("_s", F.when(F.col("_n") > 0, shares).otherwise(
+        _empty("array<struct<k:double,label:string>>")))
+    kept = F.array_sort(F.filter("_s", lambda s: -s["k"] > threshold))
+    return tmp.withColumn(out, F.transform(kept, lambda s: s["label"])).drop("_hits", "_n", "_s")
+
+
+def add_sentiment(df: DataFrame, tokens: str, text: str, out: str = "sentiment",
+                  positive: list | None = None, negative: list | None = None) -> DataFrame:
+    """M11 on a token column (staged: positive/negative hit counts once per row)."""
+    pos_terms = positive or POSITIVE_TERMS
+    neg_terms = negative or NEGATIVE_TERMS
+    tmp = (df.withColumn("_pos", F.size(F.filter(tokens, lambda t: t.isin(pos_terms))).cast("double"))
+             .withColumn("_neg", F.size(F.filter(tokens, lambda t: t.isin(neg_terms))).cast("double")))
+    pos, neg = F.col("_pos"), F.col("_neg")
+    label = F.when(pos >= neg, F.lit("POSITIVE")).otherwise(F.lit("NEGATIVE"))
+    score = F.when(pos + neg == 0, F.lit(0.5)).otherwise(F.greatest(pos, neg) / (pos + neg))
+    t = F.col(text)
+    return tmp.withColumn(out, F.when(t.isNull() | (F.length(t) == 0), _empty(SENTIMENT_TYPE.simpleString()))
+                          .otherwise(F.array(F.struct(label.alias("label"), score.alias("score"))))
+                          ).drop("_pos", "_neg")
+
+
 def process_reviews(df: DataFrame, text: str = "review_text") -> DataFrame:
-    """M10 + M11 on a review frame: adds ``topics`` and ``sentiment``."""
-    return df.withColumn("topics", extract_topics(text)).withColumn("sentiment", sentiment(text))
+    """M10 + M11 on a review frame: adds ``topics`` and ``sentiment``; the text is
+    tokenised once for both."""
+    tmp = df.withColumn("_tok", F.coalesce(letter_tokens(text), _empty("array<string>")))
+    return add_sentiment(add_topics(tmp, "_tok"), "_tok", text).drop("_tok")
 
 
 def analyze_topics(df: DataFrame, topics: str = "topics", event_type: str = "event_type") -> DataFrame:

@@ -85,9 +85,7 @@ def kde_price(spark, sf_dir):
 )
 SELECT word, COUNT(*) AS count FROM toks GROUP BY word ORDER BY count DESC, word LIMIT 20""")
 def word_top20(spark, sf_dir):
-    rv = tables.reviews(spark, sf_dir)
-    toks = TX.ws_tokens(TX.lemmatize(TX.clean_text_stop("review_text")))
-    return X.word_frequencies(rv, "review_text", 20, tokens=toks)
+    return X.lemma_word_counts(tables.reviews(spark, sf_dir), "review_text", 20)
 
 
 @register("label_rating_counts", R + "SELECT review_label, product_rating, COUNT(*) AS count FROM reviews GROUP BY 1, 2")

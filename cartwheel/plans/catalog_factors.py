@@ -135,3 +135,12 @@ def fm_embedded_recs(spark, sf_dir):
     split = FA.stratified_split(FA.balanced_interactions(ev), "score", ["event_id"], 0.2, seed=42)
     model = _fm(spark, sf_dir, split.where(~F.col("is_test")))
     return FA.fm_recommend(model, spark, 10).select("user", "item", "rank")
+
+
+@register("precision_recall_als")
+def precision_recall_als(spark, sf_dir):
+    """ALS top-10 per session against the session's purchases, population =
+    sessions in the recommendations that have truth; real ids (defect D3 avoided)."""
+    truth = _purchases(spark, sf_dir)
+    _, ur, _ = FA.als_recommend(truth, k=10)
+    return EV.precision_recall_at_k(ur, truth, 10, recall_denominator="rows", population="recs")

@@ -68,3 +68,23 @@ def cosine_output_check(spark, sf_dir):
     """Q8 on the wide cosine recommendations."""
     wide = sim.cosine_wide(sim.cosine_topk(tables.order_baskets(spark, sf_dir)))
     return Q.cosine_output_check(wide, 10, "item")
+
+
+@register("model_output_checks")
+def model_output_checks(spark, sf_dir):
+    """Q9/Q10: FP-Growth itemsets/rules and ALS recommendation outputs have their
+    required columns and are non-empty."""
+    from cartwheel.operators import baskets as B
+    from cartwheel.operators import factors as FA
+    baskets = B.build_baskets(tables.order_baskets(spark, sf_dir, item="brand"))
+    model = B.fit_fpgrowth(baskets, 0.01, 0.1)
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    purchases = ev.where(F.col("event_type") == "purchase").select(
+        F.col("user_session").alias("user"), F.col("product_id").alias("item"), F.lit(1.0).alias("score")
+    ).where(F.col("item").isNotNull())
+    _, ur, ir = FA.als_recommend(purchases, k=10)
+    out = Q.model_output_check(B.frequent_itemsets(model), "fp_itemsets", ["items", "freq"])
+    out = out.unionByName(Q.model_output_check(B.association_rules(model), "fp_rules",
+                                               ["antecedent", "consequent", "confidence"]))
+    out = out.unionByName(Q.model_output_check(ur, "als_user_recs", ["user", "rank", "item", "score"]))
+    return out.unionByName(Q.model_output_check(ir, "als_item_recs", ["item", "rank", "user", "score"]))

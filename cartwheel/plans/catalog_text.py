@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from cartwheel.functions import text as TX
 from cartwheel.operators import clean as C
 from cartwheel.operators import features as FE
 from cartwheel.operators import textops as TO
@@ -32,8 +33,8 @@ TOPIC_CTE = V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_TOPIC_LEX})""",
 
 @register("topic_tags", TOPIC_CTE + "SELECT review_id, topics FROM topics")
 def topic_tags(spark, sf_dir):
-    rv = tables.reviews(spark, sf_dir)
-    return rv.select("review_id", F.array_join(TO.extract_topics("review_text"), "|").alias("topics"))
+    rv = TO.process_reviews(tables.reviews(spark, sf_dir).select("review_id", "review_text"))
+    return rv.select("review_id", F.array_join("topics", "|").alias("topics"))
 
 
 @register("sentiment", V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_SENT_LEX})""",
@@ -49,7 +50,9 @@ SELECT r.review_id,
             ELSE ROUND(GREATEST(pos, neg) / (pos + neg), 9) END AS sentiment_score
 FROM reviews r LEFT JOIN c USING (review_id)""")
 def sentiment(spark, sf_dir):
-    rv = tables.reviews(spark, sf_dir).withColumn("s", TO.sentiment("review_text"))
+    rv = tables.reviews(spark, sf_dir).select("review_id", "review_text")
+    rv = rv.withColumn("_tok", F.coalesce(TX.letter_tokens("review_text"), F.array().cast("array<string>")))
+    rv = TO.add_sentiment(rv, "_tok", "review_text", "s")
     return rv.select("review_id", F.col("s")[0]["label"].alias("sentiment_label"),
                      F.round(F.col("s")[0]["score"], 9).alias("sentiment_score"))
 
