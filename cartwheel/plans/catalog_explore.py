@@ -39,19 +39,21 @@ def avg_by_brand(spark, sf_dir):
     return X.avg_and_count(tables.reviews(spark, sf_dir), "brand_name", "product_rating")
 
 
-@register("daily_rating", I + "SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS date, AVG(price) AS avg_price "
+@register("daily_rating", I + "SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS date, ROUND(AVG(price), 9) AS avg_price "
           "FROM interactions GROUP BY 1")
 def daily_rating(spark, sf_dir):
     """A10 on the event table: daily average of the event value."""
     out = X.daily_average(tables.interactions(spark, sf_dir, with_attributes=False), "price", "event_time")
-    return out.withColumn("date", F.col("date").cast("string"))
+    return out.withColumn("date", F.col("date").cast("string")).withColumn("avg_price", F.round("avg_price", 9))
 
 
 @register("describe_long", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, AVG({c}) AS mean, STDDEV_SAMP({c}) AS stddev, "
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, ROUND(AVG({c}), 9) AS mean, "
+    f"ROUND(STDDEV_SAMP({c}), 9) AS stddev, "
     f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM lineitem" for c in _LI_COLS))
 def describe_long(spark, sf_dir):
-    return X.describe_long(tables.table(spark, sf_dir, "lineitem"), _LI_COLS)
+    out = X.describe_long(tables.table(spark, sf_dir, "lineitem"), _LI_COLS)
+    return out.withColumn("mean", F.round("mean", 9)).withColumn("stddev", F.round("stddev", 9))
 
 
 @register("histogram_price", I + """, v AS (SELECT CAST(price AS DOUBLE) AS x FROM interactions

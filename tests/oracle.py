@@ -69,6 +69,12 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose=True):
     lc, lr = canon(left)
     rc, rr = canon(right)
     ok = lc == rc and len(lr) == len(rr) and lr == rr
+    if verbose and lc == rc:
+        ld = {c: str(left[c].dtype) for c in lc}
+        rd = {c: str(right[c].dtype) for c in rc}
+        diff = {c: (ld[c], rd[c]) for c in lc if ld[c] != rd[c]}
+        if diff:
+            print(f"  dtype differences {name}: {diff}")
     if verbose:
         print(f"{name}: {'OK' if ok else 'MISMATCH'} spark={len(lr)} duck={len(rr)} ({t1 - t0:.1f}s)")
         if not ok:
