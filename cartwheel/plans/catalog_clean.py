@@ -70,17 +70,18 @@ _MAPPED_SQL = V.with_(V.INTERACTIONS, V.REVIEWS, V.MAPPING, """joined AS (
 
 @register("key_dedup", _MAPPED_SQL + """, ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY review_product_id, cosmetic_product_id
-                               ORDER BY event_time, event_id) AS rn
+                               ORDER BY event_time, event_id, review_id) AS rn
   FROM joined
 )
 SELECT review_product_id, cosmetic_product_id, review_id, event_id, event_type, event_time
 FROM ranked WHERE rn = 1""")
 def key_dedup(spark, sf_dir):
-    joined = FE.mapped_reviews(tables.reviews(spark, sf_dir), tables.mapping(spark, sf_dir),
-                               tables.interactions(spark, sf_dir, with_attributes=False))
-    return C.key_dedup(joined.select("review_id", "review_product_id", "cosmetic_product_id", "event_id",
-                                     "event_type", "event_time"),
-                       ["review_product_id", "cosmetic_product_id"], ["event_time", "event_id"])
+    """P11 over the J1 join: first event and review per product pair (pre-aggregated)."""
+    out = FE.mapped_first_events(tables.reviews(spark, sf_dir), tables.mapping(spark, sf_dir),
+                                 tables.interactions(spark, sf_dir, with_attributes=False),
+                                 ["review_id"], ["event_id", "event_type", "event_time"])
+    return out.select("review_product_id", "cosmetic_product_id", "review_id", "event_id", "event_type",
+                      "event_time")
 
 
 @register("outlier_3sigma", """

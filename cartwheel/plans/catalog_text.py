@@ -63,7 +63,8 @@ def sentiment(spark, sf_dir):
   FROM reviews r JOIN mapping m ON m.product_id_reviews = r.product_id
   JOIN interactions i ON i.product_id = m.product_id_events
 ), ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_product_id, cosmetic_product_id ORDER BY event_time, event_id) AS rn
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_product_id, cosmetic_product_id
+                               ORDER BY event_time, event_id, review_id) AS rn
   FROM joined
 ), one AS (SELECT * FROM ranked WHERE rn = 1)
 SELECT k.label AS topic, o.event_type, COUNT(*) AS count
@@ -71,10 +72,8 @@ FROM one o JOIN kept k ON k.review_id = o.review_id GROUP BY k.label, o.event_ty
     "WITH ", "WITH " + V.INTERACTIONS + ",\n" + V.MAPPING + ",\n", 1))
 def topic_engagement(spark, sf_dir):
     """M17 on the de-duplicated review↔event rows (D5 fixed with a deterministic pick)."""
-    rv = TO.process_reviews(tables.reviews(spark, sf_dir))
-    joined = FE.mapped_reviews(rv, tables.mapping(spark, sf_dir),
-                               tables.interactions(spark, sf_dir, with_attributes=False))
-    one = C.key_dedup(joined.select("review_product_id", "cosmetic_product_id", "event_time", "event_id",
-                                    "event_type", "topics"),
-                      ["review_product_id", "cosmetic_product_id"], ["event_time", "event_id"])
+    rv = TO.process_reviews(tables.reviews(spark, sf_dir).select("review_id", "product_id", "review_text"))
+    one = FE.mapped_first_events(rv, tables.mapping(spark, sf_dir),
+                                 tables.interactions(spark, sf_dir, with_attributes=False),
+                                 ["review_id", "topics"], ["event_id", "event_type", "event_time"])
     return TO.analyze_topics(one)

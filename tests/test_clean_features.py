@@ -110,3 +110,23 @@ def test_require_columns(spark):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError):
         C.require_columns(df, "cosmetic_price")
+
+
+def test_mapped_first_events_equals_join_then_dedup(spark):
+    reviews = spark.createDataFrame([(10, 1, "r10"), (11, 1, "r11"), (12, 2, "r12"), (13, 9, "r13")],
+                                    "review_id int, product_id int, t string")
+    mapping = spark.createDataFrame([(5, 1), (5, 1), (6, 2), (7, 2)], "product_id_events int, product_id_reviews int")
+    events = spark.createDataFrame(
+        [(100, 5, "view", "2024-01-02 00:00:00"), (101, 5, "cart", "2024-01-01 00:00:00"),
+         (102, 5, "purchase", "2024-01-01 00:00:00"), (103, 6, "view", "2024-01-03 00:00:00"),
+         (104, None, "view", "2024-01-01 00:00:00")],
+        "event_id int, product_id int, event_type string, ts string").withColumn("event_time", F.to_timestamp("ts"))
+    got = {(r.review_product_id, r.cosmetic_product_id): (r.review_id, r.event_id)
+           for r in FE.mapped_first_events(reviews, mapping, events, ["review_id"],
+                                           ["event_id", "event_type", "event_time"]).collect()}
+    joined = FE.mapped_reviews(reviews, mapping, events)
+    brute = C.key_dedup(joined.select("review_product_id", "cosmetic_product_id", "review_id", "event_id",
+                                      "event_time"),
+                        ["review_product_id", "cosmetic_product_id"], ["event_time", "event_id", "review_id"])
+    exp = {(r.review_product_id, r.cosmetic_product_id): (r.review_id, r.event_id) for r in brute.collect()}
+    assert got == exp == {(1, 5): (10, 101), (2, 6): (12, 103)}
