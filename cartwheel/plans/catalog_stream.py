@@ -19,11 +19,12 @@ SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
 FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")
 def stream_daily_counts(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
-    out = ST.run_available(ST.daily_type_counts(ev), "daily-counts", "complete")
-    return spark.read.parquet(out).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"),
+    res = ST.run_available(ST.daily_type_counts(ev), "daily-counts", "update", ["w", "event_type"])
+    return res.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"),
                                           "event_type", "count")
 
 
+# Closed sessions only: those whose end is at or before the final watermark.
 @register("stream_sessions", f"""
 WITH ev AS (SELECT user_id, ts FROM events WHERE ts IS NOT NULL),
 g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE
@@ -32,12 +33,15 @@ g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER
 s AS (SELECT *, SUM(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT user_id, {_TS.format(e='MIN(ts)')} AS session_start,
        {_TS.format(e="MAX(ts) + INTERVAL 30 MINUTE")} AS session_end, COUNT(*) AS count
-FROM s GROUP BY user_id, sid""")
+FROM s GROUP BY user_id, sid
+HAVING MAX(ts) + INTERVAL 30 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY""")
 def stream_sessions(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
-    out = ST.run_available(ST.session_counts(ev), "sessions", "complete")
+    # Append mode: a session is emitted once the watermark (max event time − 1 day)
+    # passes its end, and its state is dropped — bounded state on an endless stream.
+    res = ST.run_available(ST.session_counts(ev), "sessions", "append")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    return spark.read.parquet(out).select("user_id", F.date_format("s.start", fmt).alias("session_start"),
+    return res.select("user_id", F.date_format("s.start", fmt).alias("session_start"),
                                           F.date_format("s.end", fmt).alias("session_end"), "count")
 
 
@@ -47,5 +51,5 @@ SELECT DISTINCT user_id, CASE WHEN event_type = 'click' THEN 'cart' ELSE event_t
 FROM events WHERE ts IS NOT NULL""")
 def stream_dedup(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
-    out = ST.run_available(ST.dedup_events(ev, ["user_id", "event_type", "product_id"]), "dedup", "append")
-    return spark.read.parquet(out).select("user_id", "event_type", "product_id")
+    res = ST.run_available(ST.dedup_events(ev, ["user_id", "event_type", "product_id"]), "dedup", "append")
+    return res.select("user_id", "event_type", "product_id")

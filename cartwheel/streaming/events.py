@@ -52,12 +52,16 @@ def dedup_events(events: DataFrame, subset: list, time: str = "event_time", dela
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(subset)
 
 
-def run_available(query_df: DataFrame, name: str, output_mode: str = "append") -> str:
-    """Run a streaming query over all available input and return the folder of its result.
-
-    ``complete``/``update`` results are written by ``foreachBatch`` (each batch
-    replaces the result table with the full current state); ``append`` uses the
-    parquet file sink.  Both are exactly-once through the checkpoint.
+def run_available(query_df: DataFrame, name: str, output_mode: str = "append",
+                  key_cols: list | None = None) -> DataFrame:
+    """Run a streaming query over all available input and return its result table.
+
+    * ``append``: the parquet file sink (exactly-once through the checkpoint).
+    * ``update``: each micro-batch appends its changed rows, tagged with the
+      batch id, through ``foreachBatch``; the result is the latest row per
+      ``key_cols``.  With a watermark, Spark evicts closed windows/sessions from
+      the state store, so state stays bounded on an unbounded stream (complete
+      mode would keep every window forever).
     """
     spark = query_df.sparkSession
     out = scratch_path(spark, f"{name}-out")
@@ -66,10 +70,17 @@ def run_available(query_df: DataFrame, name: str, output_mode: str = "append") -
     if output_mode == "append":
         q = writer.outputMode("append").format("parquet").option("path", out).start()
     else:
-        def replace(batch: DataFrame, _batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-        q = writer.outputMode(output_mode).foreachBatch(replace).start()
+        def upsert(batch: DataFrame, batch_id: int) -> None:
+            # Idempotent per batch id: a replayed batch overwrites its own folder.
+            batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(
+                f"{out}/batch={batch_id}")
+        q = writer.outputMode(output_mode).foreachBatch(upsert).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return out
+    result = spark.read.parquet(out)
+    if output_mode == "append":
+        return result
+    from cartwheel.operators.clean import key_dedup
+    latest = key_dedup(result.withColumn("_neg", -F.col("_batch")), key_cols, ["_neg"])
+    return latest.drop("_batch", "_neg", "batch")
