@@ -23,8 +23,25 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True) -
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame (lazy parquet scan)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table as a DataFrame (lazy parquet scan), spread over the
+    cluster when the scan would run in fewer tasks than there are cores."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer scan partitions than the default
+    parallelism (e.g. a single-row-group file), so per-row work is not run by
+    one task.  Large inputs — many files / row groups — are left untouched, so
+    at scale this adds no shuffle.  Filters and column pruning are still pushed
+    below the repartition into the scan.  ``cartwheel.spreadSmallInputs=false``
+    disables it."""
+    spark = df.sparkSession
+    if spark.conf.get("cartwheel.spreadSmallInputs", "true").lower() != "true":
+        return df
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def session_key(user: Column, ts: Column) -> Column:
