@@ -63,3 +63,15 @@ def test_topk_plans_partial_group_limit(spark):
     recs = sim.cosine_topk(_fixture(spark), k=2)
     plan = recs._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+
+
+def test_cosine_with_hot_basket_matches_brute_force(spark):
+    # One basket holds about a third of all rows; results must stay exact.
+    rows = [(0, f"i{j}", 1.0 + (j % 3)) for j in range(60)]
+    rows += [(b, f"i{(b * 7 + t) % 60}", 1.0) for b in range(1, 41) for t in range(3)]
+    df = spark.createDataFrame(rows, "basket int, item string, qty double").repartition(5)
+    expected = _brute(rows, 5)
+    got = {}
+    for r in sim.cosine_topk(df, k=5).orderBy("item", "rank").collect():
+        got.setdefault(r.item, []).append((r.score, r.rec_item))
+    assert got == {k: v for k, v in expected.items() if v}
