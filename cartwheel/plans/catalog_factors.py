@@ -110,7 +110,7 @@ def fm_eval(spark, sf_dir):
     rows = _ncf_rows(spark, sf_dir)
     model = _fm(spark, sf_dir, rows)
     pred = model.transform(rows).select(F.col("score").alias("label"), "prediction")
-    return EV.rmse(pred).join(EV.binary_precision_recall(pred, 1.5), how="inner")
+    return EV.side_by_side(EV.rmse(pred), EV.binary_precision_recall(pred, 1.5))
 
 
 @register("fm_embedded_eval")
@@ -125,7 +125,7 @@ def fm_embedded_eval(spark, sf_dir):
         F.col("score").cast("double").alias("label"), "prediction")
     w = EV.weighted_prf(pred.select(S.binarize("label", 2).alias("label"),
                                     S.binarize("prediction", 2).alias("prediction")))
-    return EV.rmse(pred).join(w, how="inner")
+    return EV.side_by_side(EV.rmse(pred), w)
 
 
 @register("fm_embedded_recs")
