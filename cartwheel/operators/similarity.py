@@ -68,19 +68,81 @@ def top_k_per_group(df: DataFrame, group: str, order_cols: list, k: int,
               .withColumn(rank_col, F.col(rank_col).cast("int")))
 
 
+# Baskets with more distinct items than this are "hot": their pairs are not
+# enumerated but scored by blocked dot products (see ``cosine_topk``).
+HOT_BASKET_ITEMS = 5000
+# Hot baskets are indexed densely; beyond this many the exact plain path is used.
+MAX_HOT_BASKETS = 4096
+
+
 def cosine_topk(triples: DataFrame, k: int = 10, basket: str = "basket", item: str = "item",
-                qty: str = "qty", digits: int = 9) -> DataFrame:
+                qty: str = "qty", digits: int = 9, hot_basket_items: int | None = None) -> DataFrame:
     """Top-k most similar items per item, long form ``(item, rank, rec_item, score)``.
 
     Scores are rounded to ``digits`` before ranking; ties go to the smaller id.
     Items without any co-occurring partner get no rows (the reference padded
     them with zero scores).
+
+    Hot baskets (more than ``hot_basket_items`` distinct items) are not turned
+    into item pairs.  With ``n(i, j)`` the dot product over normal baskets and
+    ``h(i, j)`` the one over hot baskets, every item's exact top-k lies in
+    (its top-k by ``h``) ∪ (its normal partners): a non-partner's score is
+    ``h`` alone, so if it beats the k-th best score it also beats the k-th best
+    ``h``.  The top-k by ``h`` comes from blocked matrix products on the
+    executors (k rows out per item); candidates are then scored exactly.
     """
-    scores = cosine_scores(triples, basket, item, qty, digits)
+    tau = HOT_BASKET_ITEMS if hot_basket_items is None else hot_basket_items
+    a = basket_matrix(triples, basket, item, qty).where(F.col("q") != 0)
+    norms = a.groupBy("item").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
+    unit = a.join(norms, "item").select("basket", "item", (F.col("q") / F.col("norm")).alias("w"))
+    hot = (unit.groupBy("basket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > tau)
+               .select("basket"))
+    from cartwheel.operators.sizing import materialize
+    hot = materialize(hot)
+    n_hot = hot.count()
+    if n_hot == 0 or n_hot > MAX_HOT_BASKETS:
+        scores = _pair_scores(unit, digits)
+    else:
+        scores = _scores_with_hot_baskets(unit, hot, n_hot, k, digits)
     ranked = top_k_per_group(scores, "item", [F.desc("score"), F.asc("rec_item")], k)
     return ranked.select("item", "rank", "rec_item", "score")
 
 
+def _pair_scores(unit: DataFrame, digits: int | None) -> DataFrame:
+    """Dot products over a basket equi-join (partial sums fused into the join stage)."""
+    right = unit.select(F.col("basket"), F.col("item").alias("rec_item"), F.col("w").alias("rw"))
+    summed = (unit.join(right, "basket").where(F.col("item") != F.col("rec_item"))
+                  .groupBy("item", "rec_item").agg(F.sum(F.col("w") * F.col("rw")).alias("score")))
+    return summed.withColumn("score", F.round("score", digits)) if digits is not None else summed
+
+
+def _scores_with_hot_baskets(unit: DataFrame, hot: DataFrame, n_hot: int, k: int, digits: int) -> DataFrame:
+    from cartwheel.operators.factors import hot_dot_top_k
+    from cartwheel.operators.ranking import dense_codes
+    hot_idx = F.broadcast(dense_codes(hot, "basket", "hb"))  # at most MAX_HOT_BASKETS rows
+    normal = unit.join(F.broadcast(hot), "basket", "left_anti")
+    hot_entries = unit.join(hot_idx, "basket").select("item", "hb", "w")
+    n_pairs = _pair_scores(normal, None).withColumnRenamed("score", "n")
+    # Candidates from the hot part: top-(k+1) by h, computed in blocks.
+    codes = dense_codes(hot_entries, "item", "code")
+    coded = hot_entries.join(codes, "item").select("code", "hb", "w")
+    h_top = hot_dot_top_k(coded, n_hot, k + 1, digits)
+    back_i = codes.select(F.col("code").alias("ci"), F.col("item"))
+    back_j = codes.select(F.col("code").alias("cj"), F.col("item").alias("rec_item"))
+    h_cand = (h_top.join(back_i, "ci").join(back_j, "cj").where(F.col("item") != F.col("rec_item"))
+                   .select("item", "rec_item"))
+    cand = h_cand.unionByName(n_pairs.select("item", "rec_item")).distinct()
+    # Exact h for every candidate: a join on the hot basket restricted to candidates.
+    hi = hot_entries.select(F.col("item"), "hb", F.col("w").alias("wi"))
+    hj = hot_entries.select(F.col("item").alias("rec_item"), "hb", F.col("w").alias("wj"))
+    h_exact = (cand.join(hi, "item").join(hj, ["rec_item", "hb"])
+                   .groupBy("item", "rec_item").agg(F.sum(F.col("wi") * F.col("wj")).alias("h")))
+    total = (cand.join(n_pairs, ["item", "rec_item"], "left").join(h_exact, ["item", "rec_item"], "left")
+                 .select("item", "rec_item",
+                         F.round(F.coalesce("n", F.lit(0.0)) + F.coalesce("h", F.lit(0.0)), digits).alias("score")))
+    return total.where(F.col("score") > 0)
+
+
 def cosine_wide(recs: DataFrame, k: int = 10) -> DataFrame:
     """Wide view ``item, Rec_1..Rec_k, Score_1..Score_k``; missing slots are NULL.
 

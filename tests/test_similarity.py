@@ -75,3 +75,17 @@ def test_cosine_with_hot_basket_matches_brute_force(spark):
     for r in sim.cosine_topk(df, k=5).orderBy("item", "rank").collect():
         got.setdefault(r.item, []).append((r.score, r.rec_item))
     assert got == {k: v for k, v in expected.items() if v}
+
+
+def test_hot_basket_path_is_exact(spark):
+    # Baskets with more than 8 distinct items take the blocked hot path.
+    rows = [(0, f"i{j}", 1.0 + (j % 4)) for j in range(40)]            # hot
+    rows += [(1, f"i{j}", 2.0) for j in range(5, 35, 2)]               # hot
+    rows += [(b, f"i{(b * 7 + t) % 50}", 1.0) for b in range(2, 60) for t in range(3)]  # normal
+    rows += [(60, "x1", 1.0), (60, "x2", 1.0)]                          # items outside hot baskets
+    df = spark.createDataFrame(rows, "basket int, item string, qty double").repartition(4)
+    expected = _brute(rows, 4)
+    got = {}
+    for r in sim.cosine_topk(df, k=4, hot_basket_items=8).orderBy("item", "rank").collect():
+        got.setdefault(r.item, []).append((r.score, r.rec_item))
+    assert got == {k: v for k, v in expected.items() if v}
