@@ -95,8 +95,9 @@ def cosine_topk(triples: DataFrame, k: int = 10, basket: str = "basket", item: s
     a = basket_matrix(triples, basket, item, qty).where(F.col("q") != 0)
     norms = a.groupBy("item").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
     unit = a.join(norms, "item").select("basket", "item", (F.col("q") / F.col("norm")).alias("w"))
-    hot = (unit.groupBy("basket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > tau)
-               .select("basket"))
+    # Basket sizes come from the matrix itself (no norm join needed for them).
+    hot = (a.groupBy("basket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > tau)
+            .select("basket"))
     from cartwheel.operators.sizing import materialize
     hot = materialize(hot)
     n_hot = hot.count()
