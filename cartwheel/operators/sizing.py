@@ -20,8 +20,13 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint in ``spark.checkpoint.dir`` (idempotent)."""
+    if getattr(df, "_cartwheel_materialized", False):
+        return df
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    out._cartwheel_materialized = True
+    return out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
