@@ -78,7 +78,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     lo = stats.select(F.when(F.col("mx") == F.col("mn"), F.col("mn") - 0.5).otherwise(F.col("mn"))).scalar()
     hi = stats.select(F.when(F.col("mx") == F.col("mn"), F.col("mx") + 0.5).otherwise(F.col("mx"))).scalar()
     b = F.least(F.floor((F.col("x") - lo) / (hi - lo) * F.lit(bins)).cast("int"), F.lit(bins - 1))
-    counts = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    # The bin is projected first: grouping by an expression that holds scalar
+    # subqueries is rejected when the input lineage is non-deterministic.
+    counts = vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     edges = (stats.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
                   .select("bin", (lo + (hi - lo) * F.col("bin") / F.lit(bins)).alias("lo"),
                           (lo + (hi - lo) * (F.col("bin") + 1) / F.lit(bins)).alias("hi")))
@@ -110,9 +112,11 @@ def kde(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -> Data
     # the partial aggregate keeps one row per grid point per task.
     point = F.col("point")
     z = ((start + step * point) - F.col("x")) / h
+    # Kernel values are projected before the sum (aggregate arguments may not
+    # hold scalar subqueries over a non-deterministic lineage).
     dens = (weighted.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point"))
-                    .groupBy("point")
-                    .agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s")))
+                    .select("point", (F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("c"))
+                    .groupBy("point").agg(F.sum("c").alias("s")))
     return dens.select(F.col("point").cast("int").alias("point"),
                        F.round(start + step * F.col("point"), 9).alias("x"),
                        F.round(F.col("s") * norm, 9).alias("density"))

@@ -56,15 +56,16 @@ def transform_mapping(df: DataFrame) -> DataFrame:
 
 def eda_bundle(combined: DataFrame, reviews: DataFrame, price: str = "cosmetic_price",
                review_price: str = "review_price", rating: str = "product_rating",
-               time: str = "event_time") -> dict:
+               time: str = "event_time", review_rating: str = "product_rating") -> dict:
     """M19 ``perform_eda``: the data behind every chart, as lazy DataFrames."""
-    numeric = [c for c in (price, review_price, rating, "product_rating_count") if c in combined.columns]
+    numeric = [c for c in dict.fromkeys((price, review_price, rating, "product_rating_count"))
+               if c in combined.columns]
     typed = combined.withColumns({c: S.to_double_or_zero(c) for c in numeric})
     out = {
         "summary": X.describe_long(typed, numeric),
         "daily_engagement": X.daily_counts(combined, time),
         "sentiment_counts": X.counts_by(reviews, "review_label"),
-        "sentiment_rating": X.counts_by(reviews, "review_label", rating),
+        "sentiment_rating": X.counts_by(reviews, "review_label", review_rating),
         "top_products": X.top_n(reviews, "product_title", 10),
     }
     if "event_type_index" in combined.columns:
