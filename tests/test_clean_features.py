@@ -130,3 +130,11 @@ def test_mapped_first_events_equals_join_then_dedup(spark):
                         ["review_product_id", "cosmetic_product_id"], ["event_time", "event_id", "review_id"])
     exp = {(r.review_product_id, r.cosmetic_product_id): (r.review_id, r.event_id) for r in brute.collect()}
     assert got == exp == {(1, 5): (10, 101), (2, 6): (12, 103)}
+
+
+def test_predictor_features_approximate_diversity(spark):
+    rows = [("s1", 1, f"c{i % 5}", "view", "2024-01-30 10:00:00") for i in range(20)]
+    df = spark.createDataFrame(rows, "user_session string, product_id int, category_code string, "
+                                     "event_type string, t string").withColumn("event_time", F.to_timestamp("t"))
+    out = FE.predictor_features(df, as_of="2024-02-01", approximate_diversity=True).first()
+    assert out.session_diversity == 5 and out.frequency == 20
