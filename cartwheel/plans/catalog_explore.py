@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from cartwheel.functions import text as TX
 from cartwheel.operators import explore as X
 from cartwheel.plans import oracle_views as V
 from cartwheel.plans.registry import register

@@ -1,6 +1,5 @@
 """Step 11 queries: the reference's composed cleaning flows (M18) and sinks."""
 
-from pyspark.sql import functions as F
 
 from cartwheel.plans import flows as FL
 from cartwheel.plans import oracle_views as V

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from cartwheel.functions import text as TX
-from cartwheel.operators import clean as C
 from cartwheel.operators import features as FE
 from cartwheel.operators import textops as TO
 from cartwheel.plans import oracle_views as V

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwheel.functions import scalar as S
 from cartwheel.functions import text as TX

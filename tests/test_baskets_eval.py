@@ -2,8 +2,6 @@
 
 import itertools
 
-import pytest
-from pyspark.sql import functions as F
 
 from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
