@@ -15,11 +15,11 @@ _REVIEW_COLS = ["review_id", "product_id", "brand_name", "review_title", "review
 @register("null_fraction", V.with_(V.REVIEWS) + "\nUNION ALL\n".join(
     f"SELECT 'null_fraction' AS \"check\", '{c}' AS target, "
     f"CASE WHEN v IS NULL THEN 'empty' WHEN v > 0.5 THEN 'fail' ELSE 'pass' END AS status, "
-    f"v AS value, 0.5 AS threshold, CAST(NULL AS VARCHAR) AS detail "
+    f"ROUND(v, 9) AS value, 0.5 AS threshold, CAST(NULL AS VARCHAR) AS detail "
     f"FROM (SELECT AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS v FROM reviews)"
     for c in _REVIEW_COLS))
 def null_fraction(spark, sf_dir):
-    return Q.null_fractions(tables.reviews(spark, sf_dir), 0.5)
+    return Q.null_fractions(tables.reviews(spark, sf_dir), 0.5).withColumn("value", F.round("value", 9))
 
 
 @register("duplicate_count", """
