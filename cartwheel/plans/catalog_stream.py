@@ -20,8 +20,8 @@ FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")
 def stream_daily_counts(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
     res = ST.run_available(ST.daily_type_counts(ev), "daily-counts", "update", ["w", "event_type"])
-    return res.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"),
-                                          "event_type", "count")
+    return res.select(F.date_format(ST.utc_wall_clock(F.col("w.start"), spark), "yyyy-MM-dd").alias("day"),
+                      "event_type", "count")
 
 
 # Closed sessions only: those whose end is at or before the final watermark.
@@ -41,8 +41,9 @@ def stream_sessions(spark, sf_dir):
     # passes its end, and its state is dropped — bounded state on an endless stream.
     res = ST.run_available(ST.session_counts(ev), "sessions", "append")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    return res.select("user_id", F.date_format("s.start", fmt).alias("session_start"),
-                                          F.date_format("s.end", fmt).alias("session_end"), "count")
+    return res.select("user_id",
+                      F.date_format(ST.utc_wall_clock(F.col("s.start"), spark), fmt).alias("session_start"),
+                      F.date_format(ST.utc_wall_clock(F.col("s.end"), spark), fmt).alias("session_end"), "count")
 
 
 @register("stream_dedup", """

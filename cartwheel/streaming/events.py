@@ -26,12 +26,25 @@ def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     ev = reader.parquet(path)
     return ev.select(
-        "event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id",
+        "event_id", utc_instant(F.col("ts"), spark).alias("event_time"), "user_id",
         F.when(F.col("event_type") == "click", F.lit("cart")).otherwise(F.col("event_type")).alias("event_type"),
         F.get_json_object("props", "$.k").try_cast("int").alias("product_id"),
         F.col("value").alias("price"), session_key(F.col("user_id"), F.col("ts")).alias("user_session"))
 
 
+def utc_instant(ntz, spark: SparkSession):
+    """``timestamp_ntz`` wall clock read as UTC, whatever the session time zone
+    (a plain cast would read it in the session zone and shift the day windows)."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ntz).cast("timestamp")
+
+
+def utc_wall_clock(ts, spark: SparkSession):
+    """A ``timestamp`` instant as its UTC wall clock (``timestamp_ntz``)."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 def daily_type_counts(events: DataFrame, time: str = "event_time", delay: str = "1 day") -> DataFrame:
     """Events per type and calendar day (tumbling 1-day windows, watermark ``delay``)."""
     return (events.withWatermark(time, delay)

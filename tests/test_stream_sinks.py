@@ -90,3 +90,16 @@ def test_run_metrics_and_model_roundtrip(spark, scratch_dir):
     sinks.save_model(model, path)
     assert sinks.load_pipeline(path).transform(df).count() == 2
     assert sinks.preview(df, 1).count() == 1
+
+
+def test_stream_day_windows_ignore_session_time_zone(spark):
+    import __spark_entry__ as E
+    q = E.queries()["stream_daily_counts"]
+    base = {(r.day, r.event_type): r["count"] for r in q(spark, SF_SMALL).collect()}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        shifted = {(r.day, r.event_type): r["count"] for r in q(spark, SF_SMALL).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert shifted == base
