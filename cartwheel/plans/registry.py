@@ -3,8 +3,11 @@ and, where SQL can express it, an oracle SQL string for DuckDB."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from cartwheel.session import ship_package
+
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
@@ -13,7 +16,13 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"query {name!r} registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ship_package(spark)  # executors import cartwheel for Python UDFs
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -75,3 +75,32 @@ def _count():
 
 
 _counter = _count()
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cartwheel`` importable on every executor (once per application).
+
+    Python UDFs and ``mapInPandas`` functions are pickled by reference to
+    their module, so executors must be able to import the package — the same
+    thing ``spark-submit --py-files`` does.  The package is zipped on the
+    driver and distributed with ``SparkContext.addPyFile``.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="cartwheel-pyfiles-"), "cartwheel.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
