@@ -91,14 +91,16 @@ def cosine_topk(triples: DataFrame, k: int = 10, basket: str = "basket", item: s
     ``h``.  The top-k by ``h`` comes from blocked matrix products on the
     executors (k rows out per item); candidates are then scored exactly.
     """
+    from cartwheel.operators.sizing import materialize
     tau = HOT_BASKET_ITEMS if hot_basket_items is None else hot_basket_items
-    a = basket_matrix(triples, basket, item, qty).where(F.col("q") != 0)
+    # The de-duplicated matrix feeds the size check, the norms and both join
+    # sides: it is materialised once instead of re-scanning and re-aggregating.
+    a = materialize(basket_matrix(triples, basket, item, qty).where(F.col("q") != 0))
     norms = a.groupBy("item").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
     unit = a.join(norms, "item").select("basket", "item", (F.col("q") / F.col("norm")).alias("w"))
     # Basket sizes come from the matrix itself (no norm join needed for them).
     hot = (a.groupBy("basket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > tau)
             .select("basket"))
-    from cartwheel.operators.sizing import materialize
     hot = materialize(hot)
     n_hot = hot.count()
     if n_hot == 0 or n_hot > MAX_HOT_BASKETS:
