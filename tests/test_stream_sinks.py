@@ -103,3 +103,19 @@ def test_stream_day_windows_ignore_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert shifted == base
+
+
+def test_ship_package_is_idempotent_and_importable_on_workers(spark):
+    from cartwheel import session as S
+    S.ship_package(spark)
+    S.ship_package(spark)
+    assert spark.sparkContext.applicationId in S._SHIPPED
+
+    def probe(batches):
+        import pandas as pd
+        import cartwheel.operators.factors as fa  # imported on the Python worker
+        for b in batches:
+            yield pd.DataFrame({"ok": [hasattr(fa, "_top_columns")] * len(b)})
+
+    out = spark.range(4).mapInPandas(probe, "ok boolean").collect()
+    assert all(r.ok for r in out)
