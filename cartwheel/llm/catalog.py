@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe
+from cartwheel.llm import bpe, quality, simhash
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -41,3 +41,21 @@ def op6_bpe_encode(spark, sf_dir):
     """Ids and decoding of every document, as digests."""
     docs = read_table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_texts(docs, tokenizer_path(), F.col("doc_id"), F.col("text")))
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark, sf_dir):
+    """Quality score of every document; labels of the held-out fold are never read."""
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id")))
+    model = quality.fit(docs, labels)
+    scored = quality.score_texts(docs, model, F.col("doc_id"), F.col("text"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_simhash_dedup")
+def op5_simhash_dedup(spark, sf_dir):
+    """Near-duplicate groups of every document by SimHash."""
+    docs = read_table(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs, F.col("doc_id"), F.col("text"))
