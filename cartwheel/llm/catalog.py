@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, quality, simhash
+from cartwheel.llm import bpe, quality, secrets, simhash
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -59,3 +59,14 @@ def op5_simhash_dedup(spark, sf_dir):
     """Near-duplicate groups of every document by SimHash."""
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs, F.col("doc_id"), F.col("text"))
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, F.col("text"), F.col("doc_id"))
+    return found.select(
+        "doc_id", *(secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"))
