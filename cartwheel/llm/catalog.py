@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, quality, secrets, simhash
+from cartwheel.llm import bpe, quality, secrets, simhash, warc
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -70,3 +70,20 @@ def op7_secret_scan(spark, sf_dir):
         "doc_id", *(secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
         F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"))
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS n, sha1(body) AS digest FROM p),
+m AS (SELECT digest, max(page_id) AS last FROM d WHERE n >= 1000 GROUP BY digest)
+SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN d.page_id < m.last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id < m.last THEN m.last END AS refers_to
+FROM d LEFT JOIN m ON d.digest = m.digest AND d.n >= 1000"""
+
+
+@query("op9_warc_archive", OP9_SQL)
+def op9_warc_archive(spark, sf_dir):
+    """Every page written to and read back from dictionary-compressed archives."""
+    pages = read_table(spark, sf_dir, "pages")
+    return warc.archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
