@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, quality, secrets, simhash, warc
+from cartwheel.llm import bpe, html_text, quality, secrets, simhash, warc
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -87,3 +87,10 @@ def op9_warc_archive(spark, sf_dir):
     """Every page written to and read back from dictionary-compressed archives."""
     pages = read_table(spark, sf_dir, "pages")
     return warc.archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_html_extract")
+def op8_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    return html_text.extract(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
