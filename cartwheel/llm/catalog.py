@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, html_text, quality, secrets, simhash, warc
+from cartwheel.llm import bpe, html_text, minhash, quality, secrets, simhash, warc
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -94,3 +94,14 @@ def op8_html_extract(spark, sf_dir):
     """Main text of every page."""
     return html_text.extract(read_table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op10_minhash_fingerprint")
+def op10_minhash_fingerprint(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    rows = minhash.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        minhash.as_text(F.col("sig")).alias("fingerprint"), minhash.as_text(F.col("edited_sig")).alias("edited_fingerprint"),
+        minhash.likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
+        minhash.likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
