@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, html_text, minhash, quality, secrets, simhash, warc
+from cartwheel.llm import bpe, html_text, minhash, quality, secrets, simhash, substrings, warc
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -105,3 +105,10 @@ def op10_minhash_fingerprint(spark, sf_dir):
         minhash.as_text(F.col("sig")).alias("fingerprint"), minhash.as_text(F.col("edited_sig")).alias("edited_fingerprint"),
         minhash.likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
         minhash.likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, sf_dir):
+    """Repeated sequences of 20 words removed from every document."""
+    kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
