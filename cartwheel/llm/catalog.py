@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, html_text, minhash, quality, secrets, simhash, substrings, warc
+from cartwheel.llm import bpe, html_text, minhash, neighbours, quality, secrets, simhash, substrings, warc
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -112,3 +112,9 @@ def op2_substring_dedup(spark, sf_dir):
     """Repeated sequences of 20 words removed from every document."""
     kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark, sf_dir):
+    """Near-duplicate groups of all embeddings."""
+    return neighbours.near_duplicates(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
