@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, html_text, minhash, neighbours, quality, secrets, simhash, substrings, warc
+from cartwheel.llm import bpe, html_text, minhash, mixing, neighbours, quality, secrets, simhash, substrings, warc
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -118,3 +118,12 @@ def op2_substring_dedup(spark, sf_dir):
 def op3_embedding_dedup(spark, sf_dir):
     """Near-duplicate groups of all embeddings."""
     return neighbours.near_duplicates(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@query("op1_source_mixing", mixing.mix_sql())
+def op1_source_mixing(spark, sf_dir):
+    """Documents of a mix with target weights, one row for each use."""
+    docs = read_table(spark, sf_dir, "documents")
+    used = mixing.with_copies(docs, mixing.MIX, F.col("doc_id"), mixing.document_levels(), F.col("text"))
+    return used.select(F.col("_key").alias("doc_id"), F.col("_domain").alias("domain"), F.col("_lang").alias("lang"),
+                       F.col("_source").alias("source"), F.col("_tokens").alias("n_tokens"), F.col("_epoch").alias("epoch"))
