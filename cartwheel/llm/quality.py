@@ -167,3 +167,22 @@ def score_texts(df: DataFrame, model: Model, key: Column, text: Column, key_type
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether a document is outside the rows that labels may be learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))
+
+
+def accept(df: DataFrame, model: Model, text: str, threshold: float) -> DataFrame:
+    """The rows of ``df`` whose ``text`` scores ``threshold`` or more, all columns unchanged."""
+    import pyarrow as pa
+
+    spark = df.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                good = [scorer.score(t or "") >= threshold for t in part.column(text).to_pylist()]
+                yield part.filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import null_to_empty, per_text
@@ -135,3 +135,45 @@ def near_duplicates(df: DataFrame, key: Column, text: Column, key_type: str = "b
     member = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(member, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row of ``df`` for each near-duplicate group, all columns unchanged.
+
+    The row with the least key stays (a null key only if the group has no other;
+    among rows that share it the one whose columns hash least).
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    checkpoint_dir(spark)
+    # One struct holds the input's columns, so none can clash.
+    packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+    body = null_to_empty(F.col(f"row.`{text}`"))
+    narrow = fingerprints(df, F.col(f"`{key}`"), F.col(f"`{text}`"), df.schema[key].dataType.simpleString()).checkpoint()
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("fp").alias("fp"))
+    values = narrow.groupBy("fp").agg(F.min(order).alias("first"))
+    parts = connected_components(hamming_links(with_partners(values.select("fp"))))
+    rooted = values.join(parts, values["fp"] == parts["node"], "left").select(
+        "first", F.coalesce("root", "fp").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
+    marked = _with_fp(packed, body)
+    met = marked.join(kept, marked["fp"].eqNullSafe(kept["kept_fp"]) & marked[f"row.{key}"].eqNullSafe(kept["kept_id"]))
+    one = Window.partitionBy("kept_id", "kept_fp").orderBy(F.xxhash64("row"))
+    return met.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
+
+
+def _with_fp(packed: DataFrame, body: Column) -> DataFrame:
+    """Add ``fp`` of the text ``body`` to packed rows."""
+    import pyarrow as pa
+    from pyspark.sql.types import LongType, StructType
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                found = [fingerprint(t) for t in part.column("body").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.int64())], names=["row", "fp"])
+
+    schema = StructType([packed.schema["row"]]).add("fp", LongType())
+    return packed.select("row", body.alias("body")).mapInArrow(run, schema)
