@@ -179,7 +179,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 if writer is None:
                     path, count = f"{base}/{uuid.uuid4().hex}.warc.zst", 0
-                    sink = fs.open_output_stream(path)
+                    sink = fs.open_output_stream(path, compression=None)
                     writer = Writer(sink)
                 writer.add(record_bytes(row["page_id"], row["url"], row["payload"], row["digest"], row["size"],
                                         row["refers_to"], row["refers_url"]))
@@ -212,7 +212,7 @@ def read_archives(listed: DataFrame, folder: str) -> DataFrame:
             for path, expected in zip(*(c.to_pylist() for c in batch.columns)):
                 out: list[dict] = []
                 seen = 0
-                with fs.open_input_stream(path) as source:
+                with fs.open_input_stream(path, compression=None) as source:
                     for fields, block in read_records(source):
                         out.append(_row(fields, block))
                         seen += 1
