@@ -7,9 +7,10 @@ DataFrame:
 1. duplicates are summed per ``(basket, item)`` (map-side partial aggregate);
 2. every item column is scaled to unit L2 norm (norms are a ``groupBy``; the
    join back is broadcast by AQE only when the runtime size allows it);
-3. the dot products are a basket equi-join with a partial aggregate fused into
-   the join stage, so only distinct ``(item, other)`` partial sums are shuffled;
-   AQE's skew-join split spreads a hot basket over many tasks;
+3. the dot products are an equi-join on (basket, block, block) with a partial
+   aggregate fused into the join stage, so only distinct ``(item, other)`` partial
+   sums are shuffled; a large basket is cut into blocks of items, whose pairs are
+   keys of bounded size;
 4. the top-k per item is ``row_number() <= k``, which Spark plans as a partial
    ``WindowGroupLimit`` before the exchange: a hot item never sends more than
    ``k`` rows per map task.
@@ -41,20 +42,6 @@ def basket_sparsity(triples: DataFrame, basket: str = "basket", item: str = "ite
                  F.lit(100.0) * (F.lit(1.0) - F.col("nnz") / (F.col("n_baskets") * F.col("n_items"))), 2)))
 
 
-def cosine_scores(triples: DataFrame, basket: str = "basket", item: str = "item",
-                  qty: str = "qty", digits: int = 9) -> DataFrame:
-    """All non-zero cosine scores ``(item, rec_item, score)``, self pairs excluded."""
-    a = basket_matrix(triples, basket, item, qty).where(F.col("q") != 0)
-    norms = a.groupBy("item").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
-    unit = a.join(norms, "item").select("basket", "item", (F.col("q") / F.col("norm")).alias("w"))
-    left = unit.alias("l")
-    right = unit.select(F.col("basket"), F.col("item").alias("rec_item"), F.col("w").alias("rw"))
-    return (left.join(right, "basket")
-            .where(F.col("item") != F.col("rec_item"))
-            .groupBy("item", "rec_item")
-            .agg(F.round(F.sum(F.col("w") * F.col("rw")), digits).alias("score")))
-
-
 def top_k_per_group(df: DataFrame, group: str, order_cols: list, k: int,
                     rank_col: str = "rank") -> DataFrame:
     """First ``k`` rows per group with an explicit 1-based rank.
@@ -68,82 +55,49 @@ def top_k_per_group(df: DataFrame, group: str, order_cols: list, k: int,
               .withColumn(rank_col, F.col(rank_col).cast("int")))
 
 
-# Baskets with more distinct items than this are "hot": their pairs are not
-# enumerated but scored by blocked dot products (see ``cosine_topk``).
-HOT_BASKET_ITEMS = 5000
-# Hot baskets are indexed densely; beyond this many the exact plain path is used.
-MAX_HOT_BASKETS = 4096
+# Items of a block: a basket with more distinct items is cut into blocks, and
+# every pair of its blocks is joined under a key of its own.
+BLOCK_ITEMS = 1000
 
 
 def cosine_topk(triples: DataFrame, k: int = 10, basket: str = "basket", item: str = "item",
-                qty: str = "qty", digits: int = 9, hot_basket_items: int | None = None) -> DataFrame:
+                qty: str = "qty", digits: int = 9, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Top-k most similar items per item, long form ``(item, rank, rec_item, score)``.
 
     Scores are rounded to ``digits`` before ranking; ties go to the smaller id.
-    Items without any co-occurring partner get no rows (the reference padded
-    them with zero scores).
-
-    Hot baskets (more than ``hot_basket_items`` distinct items) are not turned
-    into item pairs.  With ``n(i, j)`` the dot product over normal baskets and
-    ``h(i, j)`` the one over hot baskets, every item's exact top-k lies in
-    (its top-k by ``h``) ∪ (its normal partners): a non-partner's score is
-    ``h`` alone, so if it beats the k-th best score it also beats the k-th best
-    ``h``.  The top-k by ``h`` comes from blocked matrix products on the
-    executors (k rows out per item); candidates are then scored exactly.
+    Every two items that share a basket have a score, also a zero or negative
+    one.  Items without any co-occurring partner get no rows (the reference
+    padded them with zero scores).  ``block_items`` has no effect on results.
     """
     from cartwheel.operators.sizing import materialize
-    tau = HOT_BASKET_ITEMS if hot_basket_items is None else hot_basket_items
-    # The de-duplicated matrix feeds the size check, the norms and both join
-    # sides: it is materialised once instead of re-scanning and re-aggregating.
+    # The de-duplicated matrix feeds the sizes, the norms and both join sides:
+    # it is materialised once instead of re-scanning and re-aggregating.
     a = materialize(basket_matrix(triples, basket, item, qty).where(F.col("q") != 0))
-    norms = a.groupBy("item").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
-    unit = a.join(norms, "item").select("basket", "item", (F.col("q") / F.col("norm")).alias("w"))
-    # Basket sizes come from the matrix itself (no norm join needed for them).
-    hot = (a.groupBy("basket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > tau)
-            .select("basket"))
-    hot = materialize(hot)
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > MAX_HOT_BASKETS:
-        scores = _pair_scores(unit, digits)
-    else:
-        scores = _scores_with_hot_baskets(unit, hot, n_hot, k, digits)
+    scores = _pair_scores(a, digits, block_items)
     ranked = top_k_per_group(scores, "item", [F.desc("score"), F.asc("rec_item")], k)
     return ranked.select("item", "rank", "rec_item", "score")
 
 
-def _pair_scores(unit: DataFrame, digits: int | None) -> DataFrame:
-    """Dot products over a basket equi-join (partial sums fused into the join stage)."""
-    right = unit.select(F.col("basket"), F.col("item").alias("rec_item"), F.col("w").alias("rw"))
-    summed = (unit.join(right, "basket").where(F.col("item") != F.col("rec_item"))
-                  .groupBy("item", "rec_item").agg(F.sum(F.col("w") * F.col("rw")).alias("score")))
-    return summed.withColumn("score", F.round("score", digits)) if digits is not None else summed
-
-
-def _scores_with_hot_baskets(unit: DataFrame, hot: DataFrame, n_hot: int, k: int, digits: int) -> DataFrame:
-    from cartwheel.operators.factors import hot_dot_top_k
-    from cartwheel.operators.ranking import dense_codes
-    hot_idx = F.broadcast(dense_codes(hot, "basket", "hb"))  # at most MAX_HOT_BASKETS rows
-    normal = unit.join(F.broadcast(hot), "basket", "left_anti")
-    hot_entries = unit.join(hot_idx, "basket").select("item", "hb", "w")
-    n_pairs = _pair_scores(normal, None).withColumnRenamed("score", "n")
-    # Candidates from the hot part: top-(k+1) by h, computed in blocks.
-    codes = dense_codes(hot_entries, "item", "code")
-    coded = hot_entries.join(codes, "item").select("code", "hb", "w")
-    h_top = hot_dot_top_k(coded, n_hot, k + 1, digits)
-    back_i = codes.select(F.col("code").alias("ci"), F.col("item"))
-    back_j = codes.select(F.col("code").alias("cj"), F.col("item").alias("rec_item"))
-    h_cand = (h_top.join(back_i, "ci").join(back_j, "cj").where(F.col("item") != F.col("rec_item"))
-                   .select("item", "rec_item"))
-    cand = h_cand.unionByName(n_pairs.select("item", "rec_item")).distinct()
-    # Exact h for every candidate: a join on the hot basket restricted to candidates.
-    hi = hot_entries.select(F.col("item"), "hb", F.col("w").alias("wi"))
-    hj = hot_entries.select(F.col("item").alias("rec_item"), "hb", F.col("w").alias("wj"))
-    h_exact = (cand.join(hi, "item").join(hj, ["rec_item", "hb"])
-                   .groupBy("item", "rec_item").agg(F.sum(F.col("wi") * F.col("wj")).alias("h")))
-    total = (cand.join(n_pairs, ["item", "rec_item"], "left").join(h_exact, ["item", "rec_item"], "left")
-                 .select("item", "rec_item",
-                         F.round(F.coalesce("n", F.lit(0.0)) + F.coalesce("h", F.lit(0.0)), digits).alias("score")))
-    return total.where(F.col("score") > 0)
+def _pair_scores(a: DataFrame, digits: int, block_items: int) -> DataFrame:
+    """Dot products of unit item columns over an equi-join on (basket, block, block).
+
+    A basket of up to ``block_items`` items is one block.  A larger one is cut
+    by a hash of the item: each row meets every block of its own basket once, so
+    one basket with a third of all rows is many keys of bounded size.  Products
+    are summed in the join stage before the shuffle.
+    """
+    norms = a.groupBy("item").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("norm"))
+    unit = a.join(norms, "item").select("basket", "item", (F.col("q") / F.col("norm")).alias("w"))
+    large = (a.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("bigint").alias("blocks"))
+             .where(F.col("blocks") > 1))
+    cut = unit.join(large, "basket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("item"), F.col("blocks")))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    left = cut.select("basket", "item", "w", F.col("own").alias("b1"), every.alias("b2"))
+    right = cut.select("basket", F.col("item").alias("rec_item"), F.col("w").alias("rw"),
+                       F.col("own").alias("b2"), every.alias("b1"))
+    return (left.join(right, ["basket", "b1", "b2"]).where(F.col("item") != F.col("rec_item"))
+            .groupBy("item", "rec_item").agg(F.round(F.sum(F.col("w") * F.col("rw")), digits).alias("score")))
 
 
 def cosine_wide(recs: DataFrame, k: int = 10) -> DataFrame:

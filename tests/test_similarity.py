@@ -1,6 +1,7 @@
 """Cosine top-k against a brute-force NumPy computation (card C1)."""
 
 import numpy as np
+import pytest
 
 from cartwheel.operators import similarity as sim
 
@@ -20,10 +21,11 @@ def _brute(rows, k):
     for b, i, q in rows:
         m[baskets.index(b), items.index(i)] += q
     norms = np.linalg.norm(m, axis=0)
+    together = (m != 0).T.astype(int) @ (m != 0)
     sim_m = (m.T @ m) / np.outer(norms, norms)
     out = {}
     for a, ia in enumerate(items):
-        cands = [(round(sim_m[a, b], 9), ib) for b, ib in enumerate(items) if b != a and sim_m[a, b] > 0]
+        cands = [(round(sim_m[a, b], 9) + 0.0, ib) for b, ib in enumerate(items) if b != a and together[a, b]]
         cands.sort(key=lambda x: (-x[0], x[1]))
         out[ia] = cands[:k]
     return out
@@ -77,15 +79,29 @@ def test_cosine_with_hot_basket_matches_brute_force(spark):
     assert got == {k: v for k, v in expected.items() if v}
 
 
-def test_hot_basket_path_is_exact(spark):
-    # Baskets with more than 8 distinct items take the blocked hot path.
-    rows = [(0, f"i{j}", 1.0 + (j % 4)) for j in range(40)]            # hot
-    rows += [(1, f"i{j}", 2.0) for j in range(5, 35, 2)]               # hot
-    rows += [(b, f"i{(b * 7 + t) % 50}", 1.0) for b in range(2, 60) for t in range(3)]  # normal
-    rows += [(60, "x1", 1.0), (60, "x2", 1.0)]                          # items outside hot baskets
-    df = spark.createDataFrame(rows, "basket int, item string, qty double").repartition(4)
-    expected = _brute(rows, 4)
+def _got(df, k, **kw):
     got = {}
-    for r in sim.cosine_topk(df, k=4, hot_basket_items=8).orderBy("item", "rank").collect():
-        got.setdefault(r.item, []).append((r.score, r.rec_item))
-    assert got == {k: v for k, v in expected.items() if v}
+    for r in sim.cosine_topk(df, k=k, **kw).orderBy("item", "rank").collect():
+        got.setdefault(r.item, []).append((r.score + 0.0, r.rec_item))
+    return got
+
+
+@pytest.mark.parametrize("block_items", [1, 3, 8, 1000])
+def test_large_baskets_in_any_number_of_blocks(spark, block_items):
+    rows = [(0, f"i{j}", 1.0 + (j % 4)) for j in range(40)]
+    rows += [(1, f"i{j}", 2.0) for j in range(5, 35, 2)]
+    rows += [(b, f"i{(b * 7 + t) % 50}", 1.0) for b in range(2, 60) for t in range(3)]
+    rows += [(60, "x1", 1.0), (60, "x2", 1.0)]
+    rows += [(70, f"n{j}", -1.0 if j % 2 else 1.0) for j in range(12)]           # negative scores
+    df = spark.createDataFrame(rows, "basket int, item string, qty double").repartition(4)
+    assert _got(df, 4, block_items=block_items) == {i: v for i, v in _brute(rows, 4).items() if v}
+
+
+@pytest.mark.parametrize("block_items", [2, 1000])
+def test_scores_that_round_to_zero_are_kept(spark, block_items):
+    # Eight items share one basket with tiny weights and have a large one each.
+    rows = [(0, f"z{j}", 1e-6) for j in range(8)] + [(j + 1, f"z{j}", 1e3) for j in range(8)]
+    df = spark.createDataFrame(rows, "basket int, item string, qty double")
+    got = _got(df, 5, block_items=block_items)
+    assert got == {i: v for i, v in _brute(rows, 5).items() if v}
+    assert sum(map(len, got.values())) == 40 and {s for v in got.values() for s, _ in v} == {0.0}
