@@ -1,7 +1,8 @@
-"""Step 8 queries: splits, interaction preparation, ALS and FM recommenders (M8, M9a–i, E5, E6).
+"""Step 8 queries: splits, interaction preparation, ALS and the biased factor model (M8, M9a–i, E5, E6).
 
-Model outputs depend on floating-point training order, so ALS/FM queries are
-rows-only (no oracle); their properties are covered by tests.
+Model outputs depend on floating-point training order, so the recommendations
+are rows-only (no oracle); what every result must satisfy has one, and tests
+compare scoring with brute force.
 """
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from cartwheel.functions import scalar as S
 from cartwheel.operators import clean as C
 from cartwheel.operators import evaluate as EV
 from cartwheel.operators import factors as FA
+from cartwheel.operators import vectors as VE
 from cartwheel.operators.ranking import dense_codes
 from cartwheel.plans import oracle_views as V
 from cartwheel.plans.registry import register
@@ -81,47 +83,70 @@ def _purchases(spark, sf_dir):
 @register("als_user_recs")
 def als_user_recs(spark, sf_dir):
     """M9a/b: implicit ALS (rank 10, 10 iterations, reg 0.1) on purchases, top-10 per session."""
-    _, ur, _ = FA.als_recommend(_purchases(spark, sf_dir), k=10)
-    return ur
+    return FA.recommend_items(FA.fit_als(_purchases(spark, sf_dir)), 10)
 
 
 @register("als_item_recs")
 def als_item_recs(spark, sf_dir):
     """Top-10 sessions per product."""
-    _, _, ir = FA.als_recommend(_purchases(spark, sf_dir), k=10)
-    return ir
+    return FA.recommend_users(FA.fit_als(_purchases(spark, sf_dir)), 10)
 
 
-def _fm(spark, sf_dir, rows, max_iter=60):
-    return FA.fit_fm(rows, factor_size=16, max_iter=max_iter, step_size=0.05, reg=0.01)
+@register("als_rec_ranks", V.with_(V.INTERACTIONS, """p AS (
+  SELECT DISTINCT user_session, product_id FROM interactions
+  WHERE event_type = 'purchase' AND user_session IS NOT NULL AND product_id IS NOT NULL
+)""") + """
+SELECT user_session AS "user", least(10, (SELECT COUNT(DISTINCT product_id) FROM p)) AS n_recs, 1 AS first_rank,
+       CAST(least(10, (SELECT COUNT(DISTINCT product_id) FROM p)) AS INTEGER) AS last_rank,
+       least(10, (SELECT COUNT(DISTINCT product_id) FROM p)) AS n_known_items, TRUE AS in_score_order
+FROM (SELECT DISTINCT user_session FROM p)""")
+def als_rec_ranks(spark, sf_dir):
+    """What every ALS result must satisfy: each session has its k ranks, known
+    products and scores that fall with the rank."""
+    bought = _purchases(spark, sf_dir)
+    recs = FA.recommend_items(FA.fit_als(bought), 10)
+    known = bought.select("item").distinct().withColumn("known", F.lit(True))
+    return recs.join(known, "item", "left").groupBy("user").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.count_distinct(F.when(F.col("known"), F.col("item"))).alias("n_known_items"),
+        (F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda x: x["score"])
+         == F.sort_array(F.collect_list("score"), asc=False)).alias("in_score_order"))
+
+
+def _item_features(spark, sf_dir):
+    """Mean embedding of each product (the embeddings' label is the product id)."""
+    emb = tables.table(spark, sf_dir, "embeddings")
+    return VE.mean_embedding(emb, "label", "embedding", "features").withColumnRenamed("label", "item")
 
 
 @register("fm_recs")
 def fm_recs(spark, sf_dir):
-    """M9e/f: factorisation-machine recommender, top-10 products per user."""
-    rows = _ncf_rows(spark, sf_dir)
-    model = _fm(spark, sf_dir, rows)
-    return FA.fm_recommend(model, spark, 10)
+    """M9e/f: factor-model recommender (width 64), top-10 products per user."""
+    return FA.recommend_items(FA.fit_biased(_ncf_rows(spark, sf_dir), reg=0.1), 10)
 
 
 @register("fm_eval")
 def fm_eval(spark, sf_dir):
     """E5: RMSE and precision/recall at 1.5 on the training rows."""
     rows = _ncf_rows(spark, sf_dir)
-    model = _fm(spark, sf_dir, rows)
-    pred = model.transform(rows).select(F.col("score").alias("label"), "prediction")
+    pred = FA.predict(FA.fit_biased(rows, reg=0.1), rows).select(F.col("score").cast("double").alias("label"), "prediction")
     return EV.side_by_side(EV.rmse(pred), EV.binary_precision_recall(pred, 1.5))
 
 
+def _embedded(spark, sf_dir):
+    """M9h: the model on the 80% stratified part of the balanced data, with item
+    embeddings as features; and the split."""
+    ev = tables.interactions(spark, sf_dir, with_attributes=False)
+    split = FA.stratified_split(FA.balanced_interactions(ev), "score", ["event_id"], 0.2, seed=42)
+    train = split.where(~F.col("is_test"))
+    return FA.fit_biased(train, item_features=_item_features(spark, sf_dir)), split
+
+
 @register("fm_embedded_eval")
 def fm_embedded_eval(spark, sf_dir):
-    """M9h + E6: FM on the 80% stratified part of the balanced data; RMSE and
-    weighted P/R/F1 at 2 on the held-out 20%."""
-    ev = tables.interactions(spark, sf_dir, with_attributes=False)
-    bal = FA.balanced_interactions(ev)
-    split = FA.stratified_split(bal, "score", ["event_id"], 0.2, seed=42)
-    model = _fm(spark, sf_dir, split.where(~F.col("is_test")))
-    pred = model.transform(split.where(F.col("is_test"))).select(
+    """M9h + E6: RMSE and weighted P/R/F1 at 2 on the held-out 20%."""
+    model, split = _embedded(spark, sf_dir)
+    pred = FA.predict(model, split.where(F.col("is_test"))).select(
         F.col("score").cast("double").alias("label"), "prediction")
     w = EV.weighted_prf(pred.select(S.binarize("label", 2).alias("label"),
                                     S.binarize("prediction", 2).alias("prediction")))
@@ -131,10 +156,8 @@ def fm_embedded_eval(spark, sf_dir):
 @register("fm_embedded_recs")
 def fm_embedded_recs(spark, sf_dir):
     """M9i: ``(user, item, rank)`` from the model trained on the 80% part."""
-    ev = tables.interactions(spark, sf_dir, with_attributes=False)
-    split = FA.stratified_split(FA.balanced_interactions(ev), "score", ["event_id"], 0.2, seed=42)
-    model = _fm(spark, sf_dir, split.where(~F.col("is_test")))
-    return FA.fm_recommend(model, spark, 10).select("user", "item", "rank")
+    model, _ = _embedded(spark, sf_dir)
+    return FA.recommend_items(model, 10).select("user", "item", "rank")
 
 
 @register("precision_recall_als")
@@ -142,5 +165,5 @@ def precision_recall_als(spark, sf_dir):
     """ALS top-10 per session against the session's purchases, population =
     sessions in the recommendations that have truth; real ids (defect D3 avoided)."""
     truth = _purchases(spark, sf_dir)
-    _, ur, _ = FA.als_recommend(truth, k=10)
-    return EV.precision_recall_at_k(ur, truth, 10, recall_denominator="rows", population="recs")
+    recs = FA.recommend_items(FA.fit_als(truth), 10)
+    return EV.precision_recall_at_k(recs, truth, 10, recall_denominator="rows", population="recs")

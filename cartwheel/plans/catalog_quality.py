@@ -82,7 +82,8 @@ def model_output_checks(spark, sf_dir):
     purchases = ev.where(F.col("event_type") == "purchase").select(
         F.col("user_session").alias("user"), F.col("product_id").alias("item"), F.lit(1.0).alias("score")
     ).where(F.col("item").isNotNull())
-    _, ur, ir = FA.als_recommend(purchases, k=10)
+    als = FA.fit_als(purchases)
+    ur, ir = FA.recommend_items(als, 10), FA.recommend_users(als, 10)
     out = Q.model_output_check(B.frequent_itemsets(model), "fp_itemsets", ["items", "freq"])
     out = out.unionByName(Q.model_output_check(B.association_rules(model), "fp_rules",
                                                ["antecedent", "consequent", "confidence"]))
