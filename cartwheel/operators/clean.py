@@ -19,9 +19,9 @@ def sanitize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(" ", "_").replace(".", "_") for c in df.columns])
 
 
-def positive(df: DataFrame, col: str = "price") -> DataFrame:
-    """Keep rows with ``col > 0`` (NULL is dropped too)."""
-    return df.where(F.col(col) > 0)
+def positive(df: DataFrame, col: str = "price", above: float = 0) -> DataFrame:
+    """Keep rows with ``col > above`` (NULL is dropped too)."""
+    return df.where(F.col(col) > above)
 
 
 def of_type(df: DataFrame, value: str = "purchase", col: str = "event_type") -> DataFrame:
@@ -58,8 +58,9 @@ def key_dedup(df: DataFrame, keys: list, order: list) -> DataFrame:
     """One row per key — the row that is smallest in ``order``.
 
     Written as ``min_by`` over a struct, which aggregates partially on the map
-    side, so a hot key is reduced before the shuffle instead of being sorted
-    in one task as a window would.
+    side, so a hot key sends one row per task instead of being sorted whole in
+    one task as a window would.  A struct buffer makes Spark plan a sort
+    aggregate: each task sorts its rows by key before the partial aggregate.
     """
     rest = [c for c in df.columns if c not in keys]
     order_key = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
@@ -127,7 +128,7 @@ def require_columns(df: DataFrame, *cols: str) -> DataFrame:
     """P20: eager schema check (no Spark job)."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Columns {missing} not found. Available columns: {df.columns}")
+        raise ValueError(f"missing columns {missing}; the frame has {df.columns}")
     return df
 
 

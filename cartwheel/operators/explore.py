@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,9 +95,9 @@ def kde(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -> Data
     """Gaussian kernel density on a ``grid_size``-point grid over
     [min − cut·h, max + cut·h], bandwidth ``h = σ·n^(-1/5)`` (Scott's rule).
 
-    Values are first reduced to ``(value, weight)`` pairs; each pair adds its
-    kernel to all grid points as an array that is exploded and summed with a
-    map-side partial aggregate — no cross join, no collect.
+    Each value gives its kernel at all grid points as one vector and the vectors
+    are summed (``Summarizer.sum``, a partial aggregate): no row per grid point,
+    no shuffle of values.
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
@@ -106,20 +108,20 @@ def kde(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -> Data
     start = stats.select(F.col("mn") - F.lit(cut) * F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
     stop = stats.select(F.col("mx") + F.lit(cut) * F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
     step = (stop - start) / F.lit(grid_size - 1)
-    weighted = vals.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+    # Scalars become columns first: lambdas cannot hold subqueries.
+    placed = vals.select("x", h.alias("h"), start.alias("start"), step.alias("step"))
+
+    def kernel(point):
+        z = ((F.col("start") + F.col("step") * point) - F.col("x")) / F.col("h")
+        return F.exp(F.lit(-0.5) * z * z)
+
+    kernels = placed.select(F.transform(F.sequence(F.lit(0), F.lit(grid_size - 1)), kernel).alias("k"))
+    total = kernels.agg(Summarizer.sum(array_to_vector("k")).alias("s"))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi)) / (n * h)
-    # Each distinct value meets every grid point through an in-stage explode;
-    # the partial aggregate keeps one row per grid point per task.
-    point = F.col("point")
-    z = ((start + step * point) - F.col("x")) / h
-    # Kernel values are projected before the sum (aggregate arguments may not
-    # hold scalar subqueries over a non-deterministic lineage).
-    dens = (weighted.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point"))
-                    .select("point", (F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("c"))
-                    .groupBy("point").agg(F.sum("c").alias("s")))
-    return dens.select(F.col("point").cast("int").alias("point"),
-                       F.round(start + step * F.col("point"), 9).alias("x"),
-                       F.round(F.col("s") * norm, 9).alias("density"))
+    return (total.where(F.col("s").isNotNull()).select(F.posexplode(vector_to_array("s")).alias("point", "s"))
+            .select(F.col("point").cast("int").alias("point"),
+                    F.round(start + step * F.col("point"), 9).alias("x"),
+                    F.round(F.col("s") * norm, 9).alias("density")))
 
 
 def word_frequencies(df: DataFrame, text: str, n: int = 20, tokens: Column | None = None) -> DataFrame:

@@ -77,10 +77,13 @@ def null_fractions(df: DataFrame, threshold: float = 0.5, cols: list | None = No
 def duplicate_count(df: DataFrame, subset: list | None = None) -> DataFrame:
     """Q3: ``rows − distinct rows`` over ``subset`` in one aggregation job.
 
-    NULL keys group together, as in ``dropDuplicates``.
+    NULL keys group together, as in ``dropDuplicates``.  Text is grouped by its
+    SHA-256, so no whole text is shuffled.
     """
     subset = subset or df.columns
-    per_key = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n"))
+    keys = [F.sha2(F.col(c), 256).alias(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
+            for c in subset]
+    per_key = df.select(*keys).groupBy(*subset).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct")).select(
         F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"),
         F.col("n_distinct"),

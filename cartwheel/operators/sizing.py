@@ -1,37 +1,18 @@
-"""Size-checked broadcast of derived lookup tables.
-
-A derived table (e.g. pair scores from frequent itemsets) has no size
-statistics before it runs, so the planner cannot choose a broadcast for it up
-front.  The table is materialised once in the shared checkpoint folder (which
-also cuts its lineage, so an expensive producer such as FP-Growth mining runs
-once), counted, and broadcast only when it is under the bound; otherwise the
-caller gets a normal shuffle join.
-"""
+"""Materialised intermediate tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwheel.session import checkpoint_dir
 
-# Rows of a narrow lookup table that we accept to ship to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint in ``spark.checkpoint.dir`` (idempotent)."""
+    """Reliable, eager checkpoint in ``spark.checkpoint.dir`` (idempotent): cuts the
+    lineage, so that an expensive producer runs once."""
     if getattr(df, "_cartwheel_materialized", False):
         return df
     checkpoint_dir(df.sparkSession)
     out = df.checkpoint(eager=True)
     out._cartwheel_materialized = True
     return out
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(table, broadcast?)``: the materialised table, wrapped in a
-    broadcast hint when it has at most ``max_rows`` rows."""
-    table = materialize(df)
-    small = table.count() <= max_rows
-    return (F.broadcast(table) if small else table), small

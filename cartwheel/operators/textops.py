@@ -12,10 +12,18 @@ loaded once per Python worker).
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from cartwheel.functions.arrays import explode_nonempty
 from cartwheel.functions.text import letter_tokens
 
 # The reference's topic labels, in its order.
@@ -57,47 +65,6 @@ def _term_map(terms: dict) -> tuple[Column, list]:
                              F.array(*[F.lit(lbl) for _, lbl in pairs])), keys
 
 
-def topic_scores(text, terms: dict | None = None, labels: list | None = None) -> Column:
-    """Per-label share of lexicon hits: ``array<struct<label, score>>`` (empty when no hit)."""
-    terms = terms or TOPIC_TERMS
-    labels = labels or TOPIC_LABELS
-    m, keys = _term_map(terms)
-    toks = F.coalesce(letter_tokens(text), F.array().cast("array<string>"))
-    hit_labels = F.transform(F.filter(toks, lambda t: t.isin(keys)), lambda t: F.element_at(m, t))
-    total = F.size(hit_labels)
-    per_label = F.transform(
-        F.array(*[F.lit(lbl) for lbl in labels]),
-        lambda lbl: F.struct(lbl.alias("label"),
-                             (F.size(F.filter(hit_labels, lambda h: h == lbl)) / total).alias("score")))
-    return F.when(total > 0, per_label).otherwise(
-        F.array().cast("array<struct<label:string,score:double>>"))
-
-
-def extract_topics(text, threshold: float = 0.4, terms: dict | None = None,
-                   labels: list | None = None) -> Column:
-    """Labels with share ``> threshold``, by share desc then label."""
-    kept = F.filter(topic_scores(text, terms, labels), lambda s: s["score"] > threshold)
-    ordered = F.array_sort(F.transform(kept, lambda s: F.struct((-s["score"]).alias("k"), s["label"].alias("label"))))
-    return F.transform(ordered, lambda s: s["label"])
-
-
-def sentiment(text, positive: list | None = None, negative: list | None = None) -> Column:
-    """``[{label: POSITIVE|NEGATIVE, score}]``; score = the winning share
-    (0.5 with no lexicon hit, ties → POSITIVE); empty or NULL text → ``[]``."""
-    pos_terms = positive or POSITIVE_TERMS
-    neg_terms = negative or NEGATIVE_TERMS
-    toks = F.coalesce(letter_tokens(text), F.array().cast("array<string>"))
-    pos = F.size(F.filter(toks, lambda t: t.isin(pos_terms))).cast("double")
-    neg = F.size(F.filter(toks, lambda t: t.isin(neg_terms))).cast("double")
-    total = pos + neg
-    label = F.when(pos >= neg, F.lit("POSITIVE")).otherwise(F.lit("NEGATIVE"))
-    score = F.when(total == 0, F.lit(0.5)).otherwise(F.greatest(pos, neg) / total)
-    empty = F.array().cast(SENTIMENT_TYPE.simpleString())
-    t = F.col(text) if isinstance(text, str) else text
-    return F.when(t.isNull() | (F.length(t) == 0), empty).otherwise(
-        F.array(F.struct(label.alias("label"), score.alias("score"))))
-
-
 def _empty(type_str: str) -> Column:
     return F.array().cast(type_str)
 
@@ -140,38 +107,73 @@ def add_sentiment(df: DataFrame, tokens: str, text: str, out: str = "sentiment",
                           ).drop("_pos", "_neg")
 
 
-def process_reviews(df: DataFrame, text: str = "review_text") -> DataFrame:
+def process_reviews(df: DataFrame, text: str = "review_text", terms: dict | None = None,
+                    positive: list | None = None, negative: list | None = None,
+                    threshold: float = 0.4) -> DataFrame:
     """M10 + M11 on a review frame: adds ``topics`` and ``sentiment``; the text is
     tokenised once for both."""
     tmp = df.withColumn("_tok", F.coalesce(letter_tokens(text), _empty("array<string>")))
-    return add_sentiment(add_topics(tmp, "_tok"), "_tok", text).drop("_tok")
+    tagged = add_topics(tmp, "_tok", threshold=threshold, terms=terms)
+    return add_sentiment(tagged, "_tok", text, positive=positive, negative=negative).drop("_tok")
 
 
 def analyze_topics(df: DataFrame, topics: str = "topics", event_type: str = "event_type") -> DataFrame:
     """``(topic, event_type, count)`` ordered by count desc (ties by keys)."""
-    return (df.select(F.explode(topics).alias("topic"), event_type)
+    return (df.select(explode_nonempty(topics).alias("topic"), event_type)
               .groupBy("topic", event_type).agg(F.count(F.lit(1)).alias("count"))
               .orderBy(F.desc("count"), "topic", event_type))
 
 
-def model_column(model_factory, return_type, col: str) -> Column:
-    """X-hook: score ``col`` with a user model in Arrow batches.
-
-    ``model_factory() -> callable(pd.Series) -> pd.Series`` is called once per
-    Python worker process; empty/NULL text must map to an empty result.
-    """
-    from collections.abc import Iterator
+# Models that this Python worker process has built, by their factory's code.
+_MODELS: dict[str, Callable] = {}
 
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
-    state = {}
+def model_column(model_factory: Callable, return_type, col: str, on_error: str = "raise") -> Column:
+    """Score ``col`` with a user model in Arrow batches.
 
-    @pandas_udf(return_type)
+    ``model_factory() -> callable(pd.Series) -> pd.Series`` is called once in
+    each Python worker process; empty/NULL text must map to an empty result.
+    The model's output is checked against ``return_type`` (a Spark type or its
+    DDL).  ``on_error="empty"`` gives rows that the model fails on an empty array
+    (NULL for other types) instead of failing the job.
+    """
+    if on_error not in ("raise", "empty"):
+        raise ValueError("on_error is 'raise' or 'empty'")
+    declared = T._parse_datatype_string(return_type) if isinstance(return_type, str) else return_type
+    arrow = to_arrow_type(declared)
+    key = hashlib.sha256(cloudpickle.dumps(model_factory)).hexdigest()
+    blank: list | None = [] if isinstance(declared, T.ArrayType) else None
+
+    def checked(model: Callable, values: pd.Series) -> pd.Series:
+        out = pd.Series(model(values))
+        if len(out) != len(values):
+            raise ValueError(f"the model gave {len(out)} results for {len(values)} rows")
+        try:
+            pa.array(out, type=arrow, from_pandas=True)
+        except (pa.ArrowInvalid, pa.ArrowTypeError) as exc:
+            raise TypeError(f"the model's output is not {declared.simpleString()}: {exc}") from exc
+        return out
+
+    def one(model: Callable, values: pd.Series):
+        try:
+            return checked(model, values).iloc[0]
+        except TypeError:
+            raise
+        except Exception:  # noqa: BLE001 - whatever a user's model raises
+            return blank
+
+    @F.pandas_udf(declared)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            if "m" not in state:
-                state["m"] = model_factory()
-            yield pd.Series(state["m"](s))
+        for values in batches:
+            model = _MODELS.get(key) or _MODELS.setdefault(key, model_factory())
+            if on_error == "raise":
+                yield checked(model, values)
+                continue
+            try:
+                yield checked(model, values)
+            except TypeError:
+                raise
+            except Exception:  # noqa: BLE001 - find the rows that fail
+                yield pd.Series([one(model, values.iloc[i:i + 1]) for i in range(len(values))], dtype=object)
 
     return apply(F.col(col))

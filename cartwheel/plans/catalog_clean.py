@@ -46,9 +46,9 @@ def fallback_title(spark, sf_dir):
         "event_id", S.fallback_title("category_code", "brand").alias("title"))
 
 
-@register("positive_price", I + "SELECT event_id, price FROM interactions WHERE price > 0")
+@register("positive_price", I + "SELECT event_id, price FROM interactions WHERE price > 20")
 def positive_price(spark, sf_dir):
-    return C.positive(tables.interactions(spark, sf_dir, with_attributes=False), "price").select(
+    return C.positive(tables.interactions(spark, sf_dir, with_attributes=False), "price", above=20.0).select(
         "event_id", "price")
 
 
@@ -101,6 +101,14 @@ def typed_reviews(spark, sf_dir):
     return typed.select("review_id", "product_rating", "product_rating_count", "review_price")
 
 
+@register("review_dates", R + """
+SELECT review_id, strftime(CAST(try_strptime(review_date, '%Y-%m-%d %H:%M:%S') AS DATE), '%Y-%m-%d') AS review_day FROM reviews""")
+def review_dates(spark, sf_dir):
+    """text dates parsed, bad ones NULL."""
+    return tables.reviews(spark, sf_dir).select(
+        "review_id", S.parse_date("review_date").cast("string").alias("review_day"))
+
+
 @register("class_sample", I + """, scored AS (
   SELECT event_id, CASE event_type WHEN 'purchase' THEN 3 WHEN 'cart' THEN 2 WHEN 'view' THEN 1 END AS score
   FROM interactions

@@ -17,15 +17,21 @@ def cleaned_events(spark, sf_dir):
     return out.select("event_id", "cosmetic_product_id", "cosmetic_price", "cosmetic_product_title_clean")
 
 
-_FILLED = "COALESCE(review_title, 'No title')"
-_TITLE = f"COALESCE({V.sql_clean_text_stop(_FILLED)}, 'No title')"
+def _cleaned(column: str, missing: str) -> str:
+    filled = f"COALESCE({column}, '{missing}')"
+    return f"COALESCE({V.sql_clean_text_stop(filled)}, '{missing}')"
+
+
+_TITLE, _TEXT = _cleaned("review_title", "No title"), _cleaned("review_text", "No review")
 
 
 @register("processed_titles", V.with_(V.REVIEWS) + f"""
 SELECT review_id, {V.sql_stem3(_TITLE)} AS stemmed_title, {V.sql_lemmatize(_TITLE)} AS lemmatized_title,
+       {V.sql_stem3(_TEXT)} AS stemmed_text, {V.sql_lemmatize(_TEXT)} AS lemmatized_text,
        {V.sql_clean_title('product_title')} AS review_product_title_clean
 FROM reviews""")
 def processed_titles(spark, sf_dir):
-    """M18 ``clean_reviews_df`` + ``process_reviews_df`` with the archived title features."""
+    """M18 ``clean_reviews_df`` + ``process_reviews_df`` with the archived title and text features."""
     out = FL.process_reviews_text(FL.clean_reviews(tables.reviews(spark, sf_dir)))
-    return out.select("review_id", "stemmed_title", "lemmatized_title", "review_product_title_clean")
+    return out.select("review_id", "stemmed_title", "lemmatized_title", "stemmed_text", "lemmatized_text",
+                      "review_product_title_clean")

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from cartwheel.operators import quality as Q
 from cartwheel.operators import similarity as sim
 from cartwheel.plans import oracle_views as V
+from cartwheel.plans.catalog_baskets import MIN_CONFIDENCE, MIN_SUPPORT
 from cartwheel.plans.registry import register
 from cartwheel.sources import schemas, tables
 
 _REVIEW_COLS = ["review_id", "product_id", "brand_name", "review_title", "review_text", "lang",
-                "product_title", "product_rating", "review_label", "product_rating_count", "price"]
+                "product_title", "product_rating", "review_label", "product_rating_count", "price", "review_date"]
 
 
 @register("null_fraction", V.with_(V.REVIEWS) + "\nUNION ALL\n".join(
@@ -77,7 +78,7 @@ def model_output_checks(spark, sf_dir):
     from cartwheel.operators import baskets as B
     from cartwheel.operators import factors as FA
     baskets = B.build_baskets(tables.order_baskets(spark, sf_dir, item="brand"))
-    model = B.fit_fpgrowth(baskets, 0.01, 0.1)
+    model = B.fit_fpgrowth(baskets, MIN_SUPPORT, MIN_CONFIDENCE)
     ev = tables.interactions(spark, sf_dir, with_attributes=False)
     purchases = ev.where(F.col("event_type") == "purchase").select(
         F.col("user_session").alias("user"), F.col("product_id").alias("item"), F.lit(1.0).alias("score")

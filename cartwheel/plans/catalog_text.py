@@ -14,8 +14,15 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(V._q(str(x)) for x in r) + ")" for r in rows)
 
 
-_TOPIC_LEX = _values([(t, lbl) for lbl, ts in TO.TOPIC_TERMS.items() for t in ts])
-_SENT_LEX = _values([(t, "POSITIVE") for t in TO.POSITIVE_TERMS] + [(t, "NEGATIVE") for t in TO.NEGATIVE_TERMS])
+# The driver's texts are invented prose, in which the operators' own lexicons find
+# nothing.  The queries pass lexicons of words that do occur.
+TERMS = {"product quality": ["the", "ci"], "packaging": ["of", "que"], "price": ["and", "der"],
+         "customer service": ["to", "le"], "delivery": ["in", "la"], "ingredients": ["de"],
+         "effectiveness": ["is", "en"]}
+POSITIVE = ["the", "der", "la", "ci"]
+NEGATIVE = ["of", "and", "to", "de", "le", "und"]
+_TOPIC_LEX = _values([(t, lbl) for lbl, ts in TERMS.items() for t in ts])
+_SENT_LEX = _values([(t, "POSITIVE") for t in POSITIVE] + [(t, "NEGATIVE") for t in NEGATIVE])
 
 TOPIC_CTE = V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_TOPIC_LEX})""",
                     f"""toks AS (SELECT review_id, unnest({V.sql_letter_tokens('review_text')}) AS term FROM reviews)""",
@@ -32,7 +39,7 @@ TOPIC_CTE = V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_TOPIC_LEX})""",
 
 @register("topic_tags", TOPIC_CTE + "SELECT review_id, topics FROM topics")
 def topic_tags(spark, sf_dir):
-    rv = TO.process_reviews(tables.reviews(spark, sf_dir).select("review_id", "review_text"))
+    rv = TO.process_reviews(tables.reviews(spark, sf_dir).select("review_id", "review_text"), terms=TERMS)
     return rv.select("review_id", F.array_join("topics", "|").alias("topics"))
 
 
@@ -51,7 +58,7 @@ FROM reviews r LEFT JOIN c USING (review_id)""")
 def sentiment(spark, sf_dir):
     rv = tables.reviews(spark, sf_dir).select("review_id", "review_text")
     rv = rv.withColumn("_tok", F.coalesce(TX.letter_tokens("review_text"), F.array().cast("array<string>")))
-    rv = TO.add_sentiment(rv, "_tok", "review_text", "s")
+    rv = TO.add_sentiment(rv, "_tok", "review_text", "s", POSITIVE, NEGATIVE)
     return rv.select("review_id", F.col("s")[0]["label"].alias("sentiment_label"),
                      F.round(F.col("s")[0]["score"], 9).alias("sentiment_score"))
 
@@ -71,8 +78,62 @@ FROM one o JOIN kept k ON k.review_id = o.review_id GROUP BY k.label, o.event_ty
     "WITH ", "WITH " + V.INTERACTIONS + ",\n" + V.MAPPING + ",\n", 1))
 def topic_engagement(spark, sf_dir):
     """M17 on the de-duplicated review↔event rows (D5 fixed with a deterministic pick)."""
-    rv = TO.process_reviews(tables.reviews(spark, sf_dir).select("review_id", "product_id", "review_text"))
+    rv = TO.process_reviews(tables.reviews(spark, sf_dir).select("review_id", "product_id", "review_text"),
+                            terms=TERMS)
     one = FE.mapped_first_events(rv, tables.mapping(spark, sf_dir),
                                  tables.interactions(spark, sf_dir, with_attributes=False),
                                  ["review_id", "topics"], ["event_id", "event_type", "event_time"])
     return TO.analyze_topics(one)
+
+
+# Deterministic stand-ins for a topic model, a sentiment model and embedders.
+def toy_topics():
+    return lambda texts: texts.map(lambda t: [] if not t else [
+        "long" if len(t) > 1500 else "short", *([] if t.isascii() else ["accents"])])
+
+
+def toy_sentiment():
+    def score(t):
+        if not t:
+            return []
+        a, e = t.count("a"), t.count("e")
+        return [{"label": "POSITIVE" if a >= e else "NEGATIVE", "score": max(a, e) / (a + e) if a + e else 0.5}]
+    return lambda texts: texts.map(score)
+
+
+def toy_embedder():
+    return lambda texts: texts.map(lambda t: [] if not t else [float(len(t)), float(t.count(" ")), float(t.count("e"))])
+
+
+def failing_embedder():
+    def embed(t):
+        if t and "\u00df" in t:
+            raise ValueError("unknown character")
+        return [] if not t else [float(len(t))]
+    return lambda texts: texts.map(embed)
+
+
+@register("model_hook", """
+WITH d AS (SELECT doc_id, text, length(text) AS n, length(text) - length(replace(text, 'a', '')) AS a,
+  length(text) - length(replace(text, 'e', '')) AS e, length(text) - length(replace(text, ' ', '')) AS s,
+  regexp_matches(text, '[^\x00-\x7F]') AS accents FROM documents)
+SELECT doc_id, CASE WHEN n = 0 OR n IS NULL THEN '' ELSE (CASE WHEN n > 1500 THEN 'long' ELSE 'short' END)
+         || (CASE WHEN accents THEN '|accents' ELSE '' END) END AS topics,
+       CASE WHEN n > 0 THEN CASE WHEN a >= e THEN 'POSITIVE' ELSE 'NEGATIVE' END END AS sentiment_label,
+       CASE WHEN n > 0 THEN CASE WHEN a + e > 0 THEN ROUND(greatest(a, e) / (a + e), 9) ELSE 0.5 END END AS sentiment_score,
+       CASE WHEN n > 0 THEN CAST(n AS VARCHAR) || ' ' || CAST(s AS VARCHAR) || ' ' || CAST(e AS VARCHAR) ELSE '' END AS embedding,
+       CAST(CASE WHEN n > 0 AND NOT contains(text, 'ß') THEN 1 ELSE 0 END AS INTEGER) AS embedded
+FROM d""")
+def model_hook(spark, sf_dir):
+    """User models through the Arrow-batched hook."""
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = docs.select(
+        "doc_id", TO.model_column(toy_topics, "array<string>", "text").alias("t"),
+        TO.model_column(toy_sentiment, TO.SENTIMENT_TYPE, "text").alias("s"),
+        TO.model_column(toy_embedder, "array<float>", "text").alias("v"),
+        TO.model_column(failing_embedder, "array<float>", "text", on_error="empty").alias("w"))
+    return out.select(
+        "doc_id", F.array_join("t", "|").alias("topics"), F.get("s", F.lit(0))["label"].alias("sentiment_label"),
+        F.round(F.get("s", F.lit(0))["score"], 9).alias("sentiment_score"),
+        F.array_join(F.transform("v", lambda x: x.cast("bigint").cast("string")), " ").alias("embedding"),
+        F.size("w").alias("embedded"))

@@ -10,17 +10,21 @@ INTERACTIONS = """interactions AS (
          TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS product_id,
          e.value AS price, e.user_id,
          CAST(e.user_id AS VARCHAR) || '|' || CAST(CAST(e.ts AS DATE) AS VARCHAR) AS user_session,
-         p.p_type AS category_code, p.p_brand AS brand
+         CASE WHEN p.p_size % 5 <> 0 THEN p.p_type END AS category_code, p.p_brand AS brand
   FROM events e
   LEFT JOIN part p ON p.p_partkey = TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER)
 )"""
 
 REVIEWS = """reviews AS (
   SELECT d.doc_id AS review_id, d.doc_id AS product_id, d.source AS brand_name,
-         split_part(d.text, chr(10), 1) AS review_title, d.text AS review_text, d.lang,
+         CASE WHEN d.n_chars >= 400 THEN split_part(d.text, chr(10), 1) END AS review_title, d.text AS review_text, d.lang,
          split_part(d.text, chr(10), 1) AS product_title,
          CAST(l.quality AS VARCHAR) AS product_rating, CAST(l.toxic AS VARCHAR) AS review_label,
-         CAST(d.n_chars AS VARCHAR) AS product_rating_count, d.source AS price
+         CAST(d.n_chars AS VARCHAR) AS product_rating_count, 
+         CASE WHEN d.lang = 'de' THEN 'EUR ' || CAST(d.n_chars AS VARCHAR)
+              ELSE CAST(d.n_chars // 100 AS VARCHAR) || '.' || lpad(CAST(d.n_chars % 100 AS VARCHAR), 2, '0') END AS price,
+         CASE WHEN d.lang = 'fr' THEN 'n/a'
+              ELSE CAST(DATE '2023-01-01' + CAST(d.doc_id % 365 AS INTEGER) AS VARCHAR) || ' 12:30:00' END AS review_date
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 )"""
 

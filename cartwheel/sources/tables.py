@@ -22,35 +22,9 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True) -
     return reader.option("inferSchema", True).csv(path)
 
 
-# Tables whose rows carry long text: per-row regex work dominates their cost.
-TEXT_TABLES = {"documents", "conversations", "benchmark", "pages"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame (lazy parquet scan).
-
-    Text tables are spread over the cores when the scan would run in fewer
-    tasks than the default parallelism; numeric tables are not, because a
-    single scan task with a fused partial aggregate beats shuffling raw rows.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that has fewer scan partitions than the default
-    parallelism (e.g. a single-row-group file), so per-row work is not run by
-    one task.  Large inputs — many files / row groups — are left untouched, so
-    at scale this adds no shuffle.  Filters and column pruning are still pushed
-    below the repartition into the scan.  ``cartwheel.spreadSmallInputs=false``
-    disables it."""
-    spark = df.sparkSession
-    if spark.conf.get("cartwheel.spreadSmallInputs", "true").lower() != "true":
-        return df
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """One driver table as a DataFrame (lazy parquet scan)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def session_key(user: Column, ts: Column) -> Column:
@@ -76,15 +50,19 @@ def interactions(spark: SparkSession, sf_dir: str, with_attributes: bool = True)
     )
     if not with_attributes:
         return df
+    # Shop feeds lack some category codes: parts of every fifth size have none.
     part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("_pk"), F.col("p_type").alias("category_code"),
+        F.col("p_partkey").alias("_pk"),
+        F.when(F.col("p_size") % 5 != 0, F.col("p_type")).alias("category_code"),
         F.col("p_brand").alias("brand"))
     # Size is left to AQE/autoBroadcastJoinThreshold: part grows with the data.
     return (df.join(part, df.product_id == part._pk, "left").drop("_pk"))
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents (+ labels) in the reference's review shape; numerics stay strings."""
+    """Documents (+ labels) in the reference's review shape; numerics and dates stay
+    strings.  As in a shop export, some are malformed: German prices carry a
+    currency, French dates are missing, and short texts have no title."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     title = F.substring_index(F.col("text"), "\n", 1)
@@ -92,14 +70,19 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("review_id"),
         F.col("doc_id").alias("product_id"),
         F.col("source").alias("brand_name"),
-        title.alias("review_title"),
+        F.when(F.col("n_chars") >= 400, title).alias("review_title"),
         F.col("text").alias("review_text"),
         F.col("lang"),
         title.alias("product_title"),
         F.col("quality").cast("string").alias("product_rating"),
         F.col("toxic").cast("string").alias("review_label"),
         F.col("n_chars").cast("string").alias("product_rating_count"),
-        F.col("source").alias("price"),
+        F.when(F.col("lang") == "de", F.concat(F.lit("EUR "), F.col("n_chars").cast("string")))
+         .otherwise(F.concat(F.floor(F.col("n_chars") / 100).cast("string"), F.lit("."),
+                             F.lpad((F.col("n_chars") % 100).cast("string"), 2, "0"))).alias("price"),
+        F.when(F.col("lang") == "fr", F.lit("n/a")).otherwise(F.concat(
+            F.date_add(F.lit("2023-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")).cast("string"),
+            F.lit(" 12:30:00"))).alias("review_date"),
     ))
 
 

@@ -50,7 +50,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_filters_and_columns_reach_the_scan(spark):
     df = E.queries()["positive_price"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(value,0.0)" in plan
+    assert "GreaterThan(value,20.0)" in plan
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
 
 
