@@ -19,9 +19,7 @@ SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
 FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")
 def stream_daily_counts(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
-    res = ST.run_available(ST.daily_type_counts(ev), "daily-counts", "update", ["w", "event_type"])
-    return res.select(F.date_format(ST.utc_wall_clock(F.col("w.start"), spark), "yyyy-MM-dd").alias("day"),
-                      "event_type", "count")
+    return ST.stream_daily_counts(ev).select(F.col("day").cast("string").alias("day"), "event_type", "count")
 
 
 # Closed sessions only: those whose end is at or before the final watermark.
@@ -39,7 +37,7 @@ def stream_sessions(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
     # Append mode: a session is emitted once the watermark (max event time − 1 day)
     # passes its end, and its state is dropped — bounded state on an endless stream.
-    res = ST.run_available(ST.session_counts(ev), "sessions", "append")
+    res = ST.run_available(ST.session_counts(ev), "sessions")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return res.select("user_id",
                       F.date_format(ST.utc_wall_clock(F.col("s.start"), spark), fmt).alias("session_start"),
@@ -47,10 +45,10 @@ def stream_sessions(spark, sf_dir):
 
 
 @register("stream_dedup", """
-SELECT DISTINCT user_id, CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS event_type,
+SELECT DISTINCT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, user_id, CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS event_type,
        TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS product_id
 FROM events WHERE ts IS NOT NULL""")
 def stream_dedup(spark, sf_dir):
     ev = ST.event_stream(spark, _path(sf_dir))
-    res = ST.run_available(ST.dedup_events(ev, ["user_id", "event_type", "product_id"]), "dedup", "append")
-    return res.select("user_id", "event_type", "product_id")
+    res = ST.stream_dedup(ev, ["user_id", "event_type", "product_id"])
+    return res.select(F.col("day").cast("string").alias("day"), "user_id", "event_type", "product_id")

@@ -3,6 +3,7 @@
 import datetime
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators import explore as X
@@ -14,11 +15,25 @@ from conftest import SF_SMALL
 EV_GLOB = f"{SF_SMALL}/events*.parquet"
 
 
-def test_stream_daily_counts_equal_batch(spark):
-    res = ST.run_available(ST.daily_type_counts(ST.event_stream(spark, EV_GLOB, 1)), "t1", "update",
-                           ["w", "event_type"])
-    got = {(str(r.day), r.event_type): r["count"] for r in res.select(
-        F.to_date("w.start").alias("day"), "event_type", "count").collect()}
+@pytest.fixture(scope="module", params=["one file", "newest first", "oldest first", "mixed"])
+def event_files(request, spark, tmp_path_factory):
+    """The events in one file, or in six files by time that arrive in some order."""
+    if request.param == "one file":
+        return EV_GLOB
+    folder = tmp_path_factory.mktemp("events")
+    rows = spark.read.parquet(EV_GLOB).orderBy("ts").toPandas()
+    parts = [rows.iloc[i * len(rows) // 6:(i + 1) * len(rows) // 6] for i in range(6)]
+    order = {"newest first": [5, 4, 3, 2, 1, 0], "oldest first": [0, 1, 2, 3, 4, 5], "mixed": [3, 0, 5, 1, 4, 2]}
+    for turn, i in enumerate(order[request.param]):
+        path = os.path.join(str(folder), f"part-{i}.parquet")
+        parts[i].to_parquet(path, index=False, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + turn * 60,) * 2)
+    return str(folder) + "/*.parquet"
+
+
+def test_stream_daily_counts_equal_batch(spark, event_files):
+    res = ST.stream_daily_counts(ST.event_stream(spark, event_files, 1))
+    got = {(str(r.day), r.event_type): r["count"] for r in res.collect()}
     ev = tables.interactions(spark, SF_SMALL, with_attributes=False)
     exp = {(str(r.d), r.event_type): r["count"] for r in
            X.counts_by(ev.withColumn("d", F.to_date("event_time")), "d", "event_type").collect()}
@@ -26,7 +41,7 @@ def test_stream_daily_counts_equal_batch(spark):
 
 
 def test_stream_sessions_equal_batch_gap_rule(spark):
-    res = ST.run_available(ST.session_counts(ST.event_stream(spark, EV_GLOB)), "t2", "append")
+    res = ST.run_available(ST.session_counts(ST.event_stream(spark, EV_GLOB)), "t2")
     got = sorted((r.user_id, r["count"]) for r in res.collect())
     ev = tables.table(spark, SF_SMALL, "events").select("user_id", "ts").collect()
     watermark = max(r.ts for r in ev) - datetime.timedelta(days=1)
@@ -49,12 +64,13 @@ def test_stream_sessions_equal_batch_gap_rule(spark):
     assert got == sorted(exp)
 
 
-def test_stream_dedup_equal_batch(spark):
+def test_stream_dedup_equal_batch(spark, event_files):
     subset = ["user_id", "event_type", "product_id"]
-    res = ST.run_available(ST.dedup_events(ST.event_stream(spark, EV_GLOB), subset), "t3", "append")
-    got = res.select(*subset).distinct().count()
+    res = ST.stream_dedup(ST.event_stream(spark, event_files, 1), subset)
+    got = sorted(map(tuple, res.select(F.col("day").cast("string"), *subset).collect()), key=str)
     ev = tables.interactions(spark, SF_SMALL, with_attributes=False)
-    assert got == ev.select(*subset).distinct().count() == res.count()
+    want = ev.select(F.to_date("event_time").cast("string"), *subset).distinct().collect()
+    assert got == sorted(map(tuple, want), key=str)
 
 
 def test_staged_overwrite_of_self_read_table(spark):
