@@ -30,19 +30,21 @@ def guard_dim(c, dim: int) -> Column:
 def mean_arrays(*cols, dim: int) -> Column:
     """element-wise mean of the non-NULL, non-empty inputs; zeros when all are empty.
 
-    Inputs of unequal length raise an error instead of being truncated.
+    Inputs of unequal length raise an error instead of being truncated.  One
+    fold over the inputs: each of them is evaluated once, however it is made.
     """
     arrs = F.filter(F.array(*[_col(c).cast("array<double>") for c in cols]),
                     lambda a: a.isNotNull() & (F.size(a) > 0))
-    n = F.size(arrs)
-    first_len = F.size(F.element_at(arrs, 1))
-    same_len = F.forall(arrs, lambda a: F.size(a) == first_len)
-    mean = F.transform(
-        F.sequence(F.lit(0), first_len - 1),
-        lambda i: F.aggregate(arrs, F.lit(0.0), lambda acc, a: acc + F.element_at(a, i + 1)) / n)
-    return (F.when(n == 0, zeros(dim))
-             .when(~same_len, F.raise_error(F.lit("mean_arrays: vectors of unequal length")))
-             .otherwise(mean.cast("array<float>")))
+    unequal = F.raise_error(F.lit("mean_arrays: vectors of unequal length")).cast("array<double>")
+
+    def add(acc: Column, a: Column) -> Column:
+        total = (F.when(acc["n"] == 0, a).when(F.size(acc["s"]) != F.size(a), unequal)
+                  .otherwise(F.zip_with(acc["s"], a, lambda x, y: x + y)))
+        return F.struct((acc["n"] + 1).alias("n"), total.alias("s"))
+
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<double>").alias("s"))
+    return F.aggregate(arrs, start, add, lambda acc: F.when(acc["n"] == 0, zeros(dim)).otherwise(
+        F.transform(acc["s"], lambda x: x / acc["n"]).cast("array<float>")))
 
 
 def explode_nonempty(c) -> Column:

@@ -43,18 +43,24 @@ def topic_tags(spark, sf_dir):
     return rv.select("review_id", F.array_join("topics", "|").alias("topics"))
 
 
-@register("sentiment", V.with_(V.REVIEWS, f"""lex(term, label) AS (VALUES {_SENT_LEX})""",
-                               f"""toks AS (SELECT review_id, unnest({V.sql_letter_tokens('review_text')}) AS term FROM reviews)""",
-                               """c AS (SELECT t.review_id, COUNT(CASE WHEN l.label = 'POSITIVE' THEN 1 END) AS pos,
-                COUNT(CASE WHEN l.label = 'NEGATIVE' THEN 1 END) AS neg
-         FROM toks t JOIN lex l USING (term) GROUP BY t.review_id)""") + """
-SELECT r.review_id,
-       CASE WHEN r.review_text IS NULL OR length(r.review_text) = 0 THEN NULL
-            WHEN COALESCE(pos, 0) >= COALESCE(neg, 0) THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment_label,
-       CASE WHEN r.review_text IS NULL OR length(r.review_text) = 0 THEN NULL
-            WHEN COALESCE(pos, 0) + COALESCE(neg, 0) = 0 THEN 0.5
-            ELSE ROUND(GREATEST(pos, neg) / (pos + neg), 9) END AS sentiment_score
-FROM reviews r LEFT JOIN c USING (review_id)""")
+SENTIMENT_CTE = V.with_(V.REVIEWS) + f"""sent_lex(term, label) AS (VALUES {_SENT_LEX}),
+sent_toks AS (SELECT review_id, unnest({V.sql_letter_tokens('review_text')}) AS term FROM reviews),
+sent_c AS (SELECT t.review_id, COUNT(CASE WHEN l.label = 'POSITIVE' THEN 1 END) AS pos,
+                  COUNT(CASE WHEN l.label = 'NEGATIVE' THEN 1 END) AS neg
+           FROM sent_toks t JOIN sent_lex l USING (term) GROUP BY t.review_id),
+sentiment AS (
+  SELECT r.review_id,
+         CASE WHEN r.review_text IS NULL OR length(r.review_text) = 0 THEN NULL
+              WHEN COALESCE(pos, 0) >= COALESCE(neg, 0) THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment_label,
+         CASE WHEN r.review_text IS NULL OR length(r.review_text) = 0 THEN NULL
+              WHEN COALESCE(pos, 0) + COALESCE(neg, 0) = 0 THEN 0.5
+              ELSE ROUND(GREATEST(pos, neg) / (pos + neg), 9) END AS sentiment_score
+  FROM reviews r LEFT JOIN sent_c USING (review_id))
+"""
+
+
+@register("sentiment", SENTIMENT_CTE.replace("WITH " + V.REVIEWS, "WITH " + V.REVIEWS + ",")
+          + "SELECT review_id, sentiment_label, sentiment_score FROM sentiment")
 def sentiment(spark, sf_dir):
     rv = tables.reviews(spark, sf_dir).select("review_id", "review_text")
     rv = rv.withColumn("_tok", F.coalesce(TX.letter_tokens("review_text"), F.array().cast("array<string>")))

@@ -82,8 +82,9 @@ def compare(spark, name: str, sf_dir: str, con=None, verbose=True):
                 print("  columns", lc, rc)
                 print("  dtypes spark", dict(left.dtypes), "duck", dict(right.dtypes))
             else:
-                diff_l = [r for r in lr if r not in set(rr)][:3]
-                diff_r = [r for r in rr if r not in set(lr)][:3]
+                left_rows, right_rows = set(lr), set(rr)
+                diff_l = [r for r in lr if r not in right_rows][:3]
+                diff_r = [r for r in rr if r not in left_rows][:3]
                 print("  spark-only", diff_l)
                 print("  duck-only ", diff_r)
     return ok
