@@ -1,11 +1,16 @@
 """Step 4 queries: data-quality checks Q1–Q11."""
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.operators import clean as C
 from cartwheel.operators import quality as Q
 from cartwheel.operators import similarity as sim
 from cartwheel.plans import oracle_views as V
 from cartwheel.plans.catalog_baskets import MIN_CONFIDENCE, MIN_SUPPORT
+from cartwheel.plans.catalog_recs import COSINE_WIDE_SQL
 from cartwheel.plans.registry import register
 from cartwheel.sources import schemas, tables
 
@@ -56,25 +61,72 @@ def row_count(spark, sf_dir):
     return Q.row_count(tables.table(spark, sf_dir, "events"), 1)
 
 
-@register("schema_check")
+_INTERACTION_COLUMNS = ["event_id", "event_time", "event_type", "product_id", "price", "user_id", "user_session",
+                        "category_code", "brand"]
+# The frame's columns by position against the declared ones: name, type, nullability.
+_EXPECTED_FIELDS = [
+    ("event_time", 0, "event_id:bigint:True vs event_time:timestamp:True"),
+    ("event_type", 1, "event_time:timestamp_ntz:True vs event_type:string:True"),
+    ("product_id", 2, "event_type:string:True vs product_id:int:True"),
+    ("category_id", 3, "product_id:int:True vs category_id:bigint:True"),
+    ("category_code", 4, "price:double:True vs category_code:string:True"),
+    ("brand", 5, "user_id:bigint:True vs brand:string:True"),
+    ("price", 6, "user_session:string:True vs price:double:True"),
+    ("user_id", 7, "category_code:string:True vs user_id:int:True"),
+    ("user_session", 8, "brand:string:True vs user_session:string:True")]
+_SCHEMA_ROWS = ", ".join(
+    [f"('schema_field', '{n}', 'fail', {i}.0, '{d}')" for n, i, d in _EXPECTED_FIELDS]
+    + ["('data_type', 'event_time', 'fail', NULL, 'timestamp_ntz vs timestamp')",
+       "('data_type', 'price', 'pass', NULL, 'double vs double')", "('data_type', 'product_id', 'pass', NULL, 'int vs int')"])
+
+
+@register("schema_check", V.with_(V.INTERACTIONS, f"""c("check", target, status, value, detail) AS (VALUES {_SCHEMA_ROWS})""",
+          "n AS (" + " UNION ALL ".join(f"SELECT '{c}' AS target, COUNT({c}) AS observed FROM interactions"
+                                        for c in _INTERACTION_COLUMNS) + ")") + """
+SELECT c."check", c.target, c.status, CAST(c.value AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS threshold, c.detail, COALESCE(n.observed, 0) AS observed
+FROM c LEFT JOIN n USING (target)""")
 def schema_check(spark, sf_dir):
-    """Q1/Q4 against the declared interaction schema (metadata only: rows-only check)."""
+    """Q1/Q4 of the interaction table against the declared schema, with the number
+    of values that each checked column holds."""
     ev = tables.interactions(spark, sf_dir)
-    return Q.schema_check(ev, schemas.INTERACTIONS).unionByName(
+    checks = Q.schema_check(ev, schemas.INTERACTIONS).unionByName(
         Q.type_check(ev, {"event_time": "timestamp", "price": "double", "product_id": "int"}))
+    held = ev.agg(*(F.count(c).alias(c) for c in ev.columns)).unpivot([], ev.columns, "target", "observed")
+    return checks.join(held, "target", "left").withColumn("observed", F.coalesce("observed", F.lit(0)))
+
+
+_RECS, _SCORES = [f"Rec_{i}" for i in range(1, 11)], [f"Score_{i}" for i in range(1, 11)]
+_CHECK = 'SELECT {} AS "check", {} AS target, {} AS status, CAST({} AS DOUBLE) AS value, CAST({} AS DOUBLE) AS threshold, CAST(NULL AS VARCHAR) AS detail'
 
 
-@register("cosine_output_check")
+@register("cosine_output_check", "WITH wide AS (" + COSINE_WIDE_SQL + ")\n" + "\nUNION ALL\n".join(
+    [_CHECK.format("'cosine_columns'", "'" + ",".join(["item", *_RECS, *_SCORES]) + "'", "'pass'", 0, 0),
+     _CHECK.format("'cosine_score_types'", "NULL", "'pass'", 0, 0),
+     _CHECK.format("'non_empty'", "NULL", "CASE WHEN COUNT(*) > 0 THEN 'pass' ELSE 'fail' END", "COUNT(*)", 1) + " FROM wide",
+     _CHECK.format("'key_nulls'", "'item'", "CASE WHEN COUNT(*) = COUNT(item) THEN 'pass' ELSE 'fail' END",
+                   "COUNT(*) - COUNT(item)", 0) + " FROM wide",
+     _CHECK.format("'key_duplicates'", "'item'", "CASE WHEN COUNT(item) = COUNT(DISTINCT item) THEN 'pass' ELSE 'fail' END",
+                   "COUNT(item) - COUNT(DISTINCT item)", 0) + " FROM wide"]
+    + [_CHECK.format("'rec_nulls'", f"'{c}'", "'info'", f"COUNT(*) - COUNT({c})", "NULL") + " FROM wide" for c in _RECS]))
 def cosine_output_check(spark, sf_dir):
     """Q8 on the wide cosine recommendations."""
     wide = sim.cosine_wide(sim.cosine_topk(tables.order_baskets(spark, sf_dir)))
     return Q.cosine_output_check(wide, 10, "item")
 
 
-@register("model_output_checks")
+_MODEL_OUTPUTS = {"fp_itemsets": ["items", "freq"], "fp_rules": ["antecedent", "consequent", "confidence"],
+                  "als_user_recs": ["user", "rank", "item", "score"], "als_item_recs": ["item", "rank", "user", "score"],
+                  "ncf_recs": ["user", "rank", "item", "score"]}
+
+
+@register("model_output_checks", "\nUNION ALL\n".join(
+    part for name, cols in _MODEL_OUTPUTS.items() for part in (
+        _CHECK.format(f"'{name}_columns'", f"'{','.join(cols)}'", "'pass'", 0, 0),
+        _CHECK.format(f"'{name}_non_empty'", "NULL", "CASE WHEN COUNT(*) > 0 THEN 'pass' ELSE 'fail' END",
+                      "least(COUNT(*), 1)", 1) + (" FROM lineitem" if name.startswith("fp") else " FROM events"))))
 def model_output_checks(spark, sf_dir):
-    """Q9/Q10: FP-Growth itemsets/rules and ALS recommendation outputs have their
-    required columns and are non-empty."""
+    """Q9–Q11: itemsets, rules, ALS and factor-model recommendations have their
+    required columns and are not empty."""
     from cartwheel.operators import baskets as B
     from cartwheel.operators import factors as FA
     baskets = B.build_baskets(tables.order_baskets(spark, sf_dir, item="brand"))
@@ -84,9 +136,9 @@ def model_output_checks(spark, sf_dir):
         F.col("user_session").alias("user"), F.col("product_id").alias("item"), F.lit(1.0).alias("score")
     ).where(F.col("item").isNotNull())
     als = FA.fit_als(purchases)
-    ur, ir = FA.recommend_items(als, 10), FA.recommend_users(als, 10)
-    out = Q.model_output_check(B.frequent_itemsets(model), "fp_itemsets", ["items", "freq"])
-    out = out.unionByName(Q.model_output_check(B.association_rules(model), "fp_rules",
-                                               ["antecedent", "consequent", "confidence"]))
-    out = out.unionByName(Q.model_output_check(ur, "als_user_recs", ["user", "rank", "item", "score"]))
-    return out.unionByName(Q.model_output_check(ir, "als_item_recs", ["item", "rank", "user", "score"]))
+    ncf = FA.fit_biased(FA.ncf_interactions(C.valid_events(ev), user="user_id"))
+    frames = {"fp_itemsets": B.frequent_itemsets(model), "fp_rules": B.association_rules(model),
+              "als_user_recs": FA.recommend_items(als, 10), "als_item_recs": FA.recommend_users(als, 10),
+              "ncf_recs": FA.recommend_items(ncf, 10)}
+    checks = [Q.model_output_check(frames[name], name, cols) for name, cols in _MODEL_OUTPUTS.items()]
+    return functools.reduce(DataFrame.unionByName, checks)
