@@ -14,8 +14,9 @@ child gets ``min(capacity, weight * limit)``.  Window functions over the leaf
 table give it; documents only meet one row for each leaf.
 
 A leaf's prefix ends at one cut in the order of hashes.  It is found by sums
-over 4096 ranges of hashes and a running sum inside one range, so a leaf that
-holds a third of all documents is never summed in one task.
+over 256 ranges of hashes, then over 256 parts of the range that holds the cut,
+and a running sum inside one part, so a leaf that holds a third of all documents
+is never summed in one task.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from cartwheel.session import checkpoint_dir
 LEVELS = ("domain", "lang", "source")
 # The leaf table is broadcast up to this many rows and joined by shuffle beyond.
 MAX_BROADCAST_LEAVES = 50_000
+# Hexadecimal digits of the nested hash ranges.
+RANGE_DIGITS = (2, 4)
 
 
 @dataclass(frozen=True)
@@ -115,16 +118,21 @@ def leaf_cuts(members: DataFrame, mix: Mix) -> tuple[DataFrame, bool]:
     small = leaves.count() <= MAX_BROADCAST_LEAVES
     plan = leaf_budgets(leaves, mix).select(
         *(F.col(level).alias(n) for n, level in zip(names, LEVELS)), "budget", "epochs", "rest").checkpoint()
-    placed = _meet(members, plan.where("rest > 0").drop("budget"), small).select(
-        *names, "rest", "_tokens", _order(mix, F.col("epochs"), F.col("_key")).alias("_place"))
-    ranges = placed.groupBy(*names, "rest", F.substring("_place", 1, 3).alias("_range")).agg(F.sum("_tokens").alias("_sum"))
-    running = Window.partitionBy(*names).orderBy("_range")
-    edge = (ranges.withColumn("_before", F.sum("_sum").over(running) - F.col("_sum"))
-            .where("_before < rest AND _before + _sum >= rest").select(*names, "_range", "_before"))
-    inside = _meet(placed, edge, small).where(F.substring("_place", 1, 3) == F.col("_range"))
+    inside = _meet(members, plan.where("rest > 0").drop("budget"), small).select(
+        *names, "rest", "_tokens", _order(mix, F.col("epochs"), F.col("_key")).alias("_place"),
+        F.lit(0).cast("bigint").alias("_before"))
+    running = Window.partitionBy(*names)
+    for digits in RANGE_DIGITS:
+        # The range of places, by their leading digits, in which the prefix ends.
+        ranges = inside.groupBy(*names, "rest", "_before", F.substring("_place", 1, digits).alias("_range")).agg(
+            F.sum("_tokens").alias("_sum"))
+        edge = (ranges.withColumn("_at", F.col("_before") + F.sum("_sum").over(running.orderBy("_range")) - F.col("_sum"))
+                .where("_at < rest AND _at + _sum >= rest").select(*names, "_range", "_at"))
+        inside = (_meet(inside.drop("_before"), edge, small)
+                  .where(F.substring("_place", 1, digits) == F.col("_range"))
+                  .select(*names, "rest", "_tokens", "_place", F.col("_at").alias("_before")))
     steps = inside.groupBy(*names, "rest", "_before", "_place").agg(F.sum("_tokens").alias("_sum"))
-    within = Window.partitionBy(*names).orderBy("_place")
-    cuts = (steps.withColumn("_at", F.col("_before") + F.sum("_sum").over(within) - F.col("_sum"))
+    cuts = (steps.withColumn("_at", F.col("_before") + F.sum("_sum").over(running.orderBy("_place")) - F.col("_sum"))
             .where("_at < rest").groupBy(*names).agg(F.max("_place").alias("_cut")))
     return plan.join(cuts, names, "left").checkpoint(), small
 
