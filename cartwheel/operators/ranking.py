@@ -55,9 +55,3 @@ def dense_codes(df: DataFrame, id_col: str, out: str | None = None) -> DataFrame
     ids = df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
     return (global_row_number(ids, [F.col(id_col)], out="_rn")
             .select(id_col, (F.col("_rn") - 1).alias(out)))
-
-
-def encode(df: DataFrame, id_col: str, out: str | None = None) -> DataFrame:
-    """Join the dense code of ``id_col`` onto every row."""
-    out = out or f"{id_col}_code"
-    return df.join(dense_codes(df, id_col, out), id_col, "left")

@@ -128,6 +128,14 @@ def analyze_topics(df: DataFrame, topics: str = "topics", event_type: str = "eve
 _MODELS: dict[str, Callable] = {}
 
 
+def _loaded(key: str, model_factory: Callable) -> Callable:
+    """The model of this worker process.  (A module-level function: the hook's own
+    closure is pickled by value and would carry a copy of the table.)"""
+    if key not in _MODELS:
+        _MODELS[key] = model_factory()
+    return _MODELS[key]
+
+
 def model_column(model_factory: Callable, return_type, col: str, on_error: str = "raise") -> Column:
     """Score ``col`` with a user model in Arrow batches.
 
@@ -165,7 +173,7 @@ def model_column(model_factory: Callable, return_type, col: str, on_error: str =
     @F.pandas_udf(declared)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for values in batches:
-            model = _MODELS.get(key) or _MODELS.setdefault(key, model_factory())
+            model = _loaded(key, model_factory)
             if on_error == "raise":
                 yield checked(model, values)
                 continue

@@ -11,6 +11,11 @@ from cartwheel.operators import explore as X
 from cartwheel.operators import features as FE
 
 
+# What the reference fills missing texts with.
+MISSING_TITLE = "No title"
+MISSING_TEXT = "No review"
+
+
 def clean_cosmetic(df: DataFrame) -> DataFrame:
     """Live ``clean_cosmetic_df``: fallback title (F6), renames, positive price."""
     out = df.withColumn("cosmetic_product_title_clean", S.fallback_title("category_code", "brand"))
@@ -27,10 +32,10 @@ def clean_reviews(df: DataFrame) -> DataFrame:
 def process_reviews_text(df: DataFrame) -> DataFrame:
     """Live ``process_reviews_df`` (P7) plus the archived text features the EDA
     reads (F2 cleaning, F3 stems, F4 lemmas — defect D8 restored)."""
-    out = C.fill_nulls(df, {"review_title": "No title", "review_text": "No review"})
+    out = C.fill_nulls(df, {"review_title": MISSING_TITLE, "review_text": MISSING_TEXT})
     out = out.withColumn("review_title_clean", TX.clean_text_stop("review_title")).withColumn(
         "review_text_clean", TX.clean_text_stop("review_text"))
-    out = C.fill_nulls(out, {"review_title_clean": "No title", "review_text_clean": "No review"})
+    out = C.fill_nulls(out, {"review_title_clean": MISSING_TITLE, "review_text_clean": MISSING_TEXT})
     return (out.withColumn("stemmed_title", TX.stem3("review_title_clean"))
                .withColumn("lemmatized_title", TX.lemmatize("review_title_clean"))
                .withColumn("stemmed_text", TX.stem3("review_text_clean"))

@@ -35,8 +35,11 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
                partition_by: list | None = None) -> None:
     """Write a managed table; an overwrite may change the schema.
 
-    The data is first written to ``<name>__staged`` and then swapped in, so a
-    plan that reads ``name`` can overwrite it.
+    The data is first written to ``<name>__staged``, the present table becomes
+    ``<name>__old``, the staged one takes the name and the old one goes.  A plan
+    that reads ``name`` can overwrite it, and whenever the driver is lost the data
+    is still there under one of the three names (a metastore without
+    transactions cannot swap two names at once).
     """
     spark = df.sparkSession
     staged = f"{name}__staged"
@@ -51,8 +54,12 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
         writer.saveAsTable(name)
         return
     writer.saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    old = f"{name}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:

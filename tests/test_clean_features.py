@@ -138,3 +138,41 @@ def test_predictor_features_approximate_diversity(spark):
                                      "event_type string, t string").withColumn("event_time", F.to_timestamp("t"))
     out = FE.predictor_features(df, as_of="2024-02-01", approximate_diversity=True).first()
     assert out.session_diversity == 5 and out.frequency == 20
+
+
+def test_pairs_values_splits_and_truth(spark):
+    from cartwheel.operators import clean as C
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    assert sorted(map(tuple, C.distinct_pairs(df, "k", "v").collect()), key=str) == [(1, "a"), (2, None), (3, "c")]
+    assert sorted(r.v for r in C.non_null_values(df, "v").collect()) == ["a", "a", "c"]
+    assert sorted(r.k for r in C.with_truth(df, spark.createDataFrame([(1,), (1,), (3,)], "k int"), "k").collect()) == [1, 1, 3]
+    big = spark.range(4000).repartition(4)
+    train, test = C.split_random(big, (0.8, 0.2), seed=1)
+    assert train.count() + test.count() == 4000 and train.intersect(test).count() == 0
+    assert 600 < test.count() < 1000
+
+
+def test_csv_scan_with_declared_schema(spark, scratch_dir):
+    import os
+
+    from cartwheel.sources import schemas, tables
+    path = os.path.join(scratch_dir, "mapping.csv")
+    with open(path, "w") as f:
+        f.write("product_id_events,product_id_reviews\n7,12\n,3\n")
+    declared = tables.read_csv(spark, path, schemas.MAPPING)
+    assert declared.schema == schemas.MAPPING
+    assert sorted(map(tuple, declared.collect()), key=str) == [(7, 12), (None, 3)]
+    assert tables.read_csv(spark, path).dtypes == [("product_id_events", "int"), ("product_id_reviews", "int")]
+
+
+def test_null_sessions_get_null_features(spark):
+    import datetime
+
+    from cartwheel.operators import features as FE
+    day = datetime.datetime(2024, 1, 1)
+    rows = [("s", 1, "c", day, "view"), ("s", 1, None, day, "purchase"), (None, 1, "c", day, "view"), (None, 2, "d", day, "view")]
+    df = spark.createDataFrame(rows, "user_session string, product_id int, category_code string, event_time timestamp, event_type string")
+    out = FE.predictor_features(df, as_of="2024-01-03")
+    got = sorted(((r.user_session, r.product_id, r.frequency, r.session_diversity, r.popularity, r.recency) for r in out.collect()), key=str)
+    assert got == sorted([("s", 1, 2, 1, 1, 2), ("s", 1, 2, 1, 1, 2), (None, 1, None, None, 1, 2), (None, 2, None, None, None, 2)], key=str)
+    assert sorted(out.columns) == sorted([*df.columns, "recency", "frequency", "session_diversity", "popularity"])

@@ -1,7 +1,5 @@
 """Scalar/text/array functions against the Python semantics they replace."""
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,25 +7,43 @@ from cartwheel.functions import arrays as A
 from cartwheel.functions import scalar as S
 from cartwheel.functions import text as TX
 
-PROBES = ["  Hello, World!  ", "\tTabbed\tText\n", " NBSP ", "Café crème", "",
-          "only ... !!!", "Em space", "\x1cfile sep\x1f", "İstanbul", "Kelvin",
-          "double  inner  spaces", "MiXeD 123 CaSe"]
-
-
-def py_clean_live(text):
-    if isinstance(text, str):
-        text = text.lower().strip()
-        return re.sub(r"[^a-zA-Z0-9 ]", "", text)
-    return text
-
-
-def py_clean_archived(text):
-    if isinstance(text, str):
-        text = text.lower().replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        text = re.sub(r"[^a-z\s]", "", text)
-        words = [w for w in text.split() if w not in set(TX.STOP_WORDS)]
-        return " ".join(words).strip()
-    return text
+# Input and expected output of the live title cleaner: lower case, trimmed, then
+# only ASCII letters, digits and spaces.
+TITLES = [
+    ('  Hello, World!  ', 'hello world'),
+    ('\tTabbed\tText\n', 'tabbedtext'),
+    ('\xa0NBSP\xa0', 'nbsp'),
+    ('Caf\xe9 cr\xe8me', 'caf crme'),
+    ('', ''),
+    ('only ... !!!', 'only  '),
+    ('Em\u2003space', 'emspace'),
+    ('\x1cfile sep\x1f', 'file sep'),
+    ('\u0130stanbul', 'istanbul'),
+    ('\u212aelvin', 'kelvin'),
+    ('double  inner  spaces', 'double  inner  spaces'),
+    ('MiXeD 123 CaSe', 'mixed 123 case'),
+    (None, None),
+]
+
+# The archived text cleaner: lower case, only a-z and white space, no stop words,
+# words joined by one space.
+TEXTS = [
+    ('  Hello, World!  ', 'hello world'),
+    ('\tTabbed\tText\n', 'tabbed text'),
+    ('\xa0NBSP\xa0', 'nbsp'),
+    ('Caf\xe9 cr\xe8me', 'caf crme'),
+    ('', ''),
+    ('only ... !!!', ''),
+    ('Em\u2003space', 'em space'),
+    ('\x1cfile sep\x1f', 'file sep'),
+    ('\u0130stanbul', 'istanbul'),
+    ('\u212aelvin', 'kelvin'),
+    ('double  inner  spaces', 'double inner spaces'),
+    ('MiXeD 123 CaSe', 'mixed case'),
+    ("The product is not what I wanted, but it's fine", 'product wanted fine'),
+    ('a an the', ''),
+    (None, None),
+]
 
 
 def _col(spark, values, fn):
@@ -35,15 +51,12 @@ def _col(spark, values, fn):
     return [r[0] for r in df.orderBy("i").select(fn("t")).collect()]
 
 
-def test_clean_title_matches_python(spark):
-    got = _col(spark, PROBES + [None], TX.clean_title)
-    assert got == [py_clean_live(p) for p in PROBES] + [None]
+def test_clean_title(spark):
+    assert _col(spark, [t for t, _ in TITLES], TX.clean_title) == [want for _, want in TITLES]
 
 
-def test_clean_text_stop_matches_python(spark):
-    probes = PROBES + ["The product is not what I wanted, but it's fine", "a an the"]
-    got = _col(spark, probes + [None], TX.clean_text_stop)
-    assert got == [py_clean_archived(p) for p in probes] + [None]
+def test_clean_text_stop(spark):
+    assert _col(spark, [t for t, _ in TEXTS], TX.clean_text_stop) == [want for _, want in TEXTS]
 
 
 def test_stem3_and_safe_text(spark):
@@ -112,3 +125,8 @@ def test_items_text_and_overlap(spark):
     df = spark.createDataFrame([([3, 1, 2], [2, 5])], "a array<int>, b array<int>")
     r = df.select(A.items_text("a"), A.overlap_size("a", "b")).first()
     assert r[0] == "[1 2 3]" and r[1] == 1
+
+
+def test_presence_and_round2(spark):
+    df = spark.createDataFrame([(0.0, 1.005), (1.0, 2.345678), (7.0, -0.126)], "q double, x double")
+    assert [tuple(r) for r in df.select(S.presence("q"), S.round2("x")).collect()] == [(0, 1.01), (1, 2.35), (1, -0.13)]

@@ -144,3 +144,45 @@ def test_als_scoring_equals_spark_recommend_for_all(spark):
     for r in sorted(ours_items, key=lambda r: (r.item, r.rank)):
         got_i.setdefault(r.item, []).append(round(r.score, 3))
     assert got == ref and got_i == ref_i
+
+
+def test_model_hook_loads_once_per_worker_and_checks_types(spark, scratch_dir):
+    import os
+    import uuid
+
+    folder = os.path.join(scratch_dir, "loads")
+    os.makedirs(folder)
+
+    def counting():
+        with open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w"):
+            pass
+        return lambda texts: texts.map(lambda t: [] if not t else [float(len(t))])
+
+    rows = [(i, None if i % 7 == 0 else "x" * i) for i in range(48)]
+    df = spark.createDataFrame(rows, "i int, t string").repartition(24)
+    got = {r.i: r.v for r in df.select("i", TO.model_column(counting, "array<float>", "t").alias("v")).collect()}
+    assert got == {i: [float(len(t))] if t else [] for i, t in rows}
+    loads = [name.split("-")[0] for name in os.listdir(folder)]
+    assert len(loads) == len(set(loads)) < 24  # 24 tasks, one load in each worker process
+
+    def wrong():
+        return lambda texts: texts.map(lambda t: "not a vector")
+
+    for on_error in ("raise", "empty"):
+        with pytest.raises(Exception, match="not array<float>"):
+            df.select(TO.model_column(wrong, "array<float>", "t", on_error=on_error)).collect()
+
+
+def test_model_hook_on_error_empty(spark):
+    def fragile():
+        def one(t):
+            if t == "bad":
+                raise ValueError("model failed")
+            return [1.0, 2.0]
+        return lambda texts: texts.map(one)
+
+    df = spark.createDataFrame([("ok",), ("bad",), ("fine",)], "t string").coalesce(1)
+    got = [r.v for r in df.select(TO.model_column(fragile, "array<float>", "t", on_error="empty").alias("v")).collect()]
+    assert got == [[1.0, 2.0], [], [1.0, 2.0]]
+    with pytest.raises(Exception, match="model failed"):
+        df.select(TO.model_column(fragile, "array<float>", "t")).collect()

@@ -59,3 +59,37 @@ def test_cosine_plans_partial_topk_and_partial_sums(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "partial_sum" in plan
+
+
+# Columns that must take more than one value on the fixture, and whether NULLs must
+# occur: otherwise the operator behind them would not be exercised.
+SIGNAL = {
+    "topic_tags": ("topics", False), "sentiment": ("sentiment_label", False), "topic_engagement": ("count", False),
+    "typed_reviews": ("review_price", True), "fallback_title": ("title", False), "review_dates": ("review_day", True),
+    "model_hook": ("embedded", False), "frequent_itemsets": ("size", False), "rules_lift": ("lift", False),
+    "processed_titles": ("stemmed_text", False), "null_fraction": ("value", False), "cosine_topk": ("score", False),
+    "schema_check": ("status", False), "hash_embedding": ("value", False), "review_embeddings": ("value", False),
+    "clean_title": ("title_clean", False), "positive_price": ("price", False), "baseline_eval": (None, False),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SIGNAL))
+def test_oracle_results_carry_signal(con, name):
+    rows = con.execute(ORACLES[name]).fetchdf()
+    assert len(rows) > 0
+    column, nulls = SIGNAL[name]
+    if column:
+        assert rows[column].nunique() > 1
+        assert rows[column].isna().any() == nulls or not nulls
+
+
+def test_filters_cut_rows_and_titles_are_filled(con):
+    events = con.execute("SELECT COUNT(*) FROM events").fetchone()[0]
+    assert 0 < len(con.execute(ORACLES["positive_price"]).fetchdf()) < events
+    missing = con.execute("SELECT COUNT(*) FROM (" + ORACLES["processed_titles"] + ") WHERE stemmed_title = 'tit' OR lemmatized_title LIKE '%title%'").fetchone()[0]
+    assert missing > 0
+
+
+def test_no_oracle_is_empty(con):
+    empty = [n for n, sql in ORACLES.items() if not con.execute(f"SELECT COUNT(*) FROM ({sql})").fetchone()[0]]
+    assert empty == []
