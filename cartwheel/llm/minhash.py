@@ -135,26 +135,32 @@ def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 20_000, most:
             .otherwise((high - 1) * 256 + reached(inner)))
 
 
-def with_next(rows: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Add ``next_<column>`` of the row that follows by ``key`` (after the last: the first).
+def with_next(rows: DataFrame, key: str, columns: list[str], derive) -> DataFrame:
+    """``derive(rows)`` with ``next_<column>`` of the row that follows by ``key``
+    (after the last: the first), for ``columns`` of ``derive``'s result.
 
     Rows are dealt out by key ranges and read in order within a range; the last
-    row of a range takes its values from the first row of the next range, of
-    which there is one for each range.  Rows that share a key follow each other
-    by a hash of ``columns``, null keys come last.
+    row of a range takes its values from the first row of the next range.  Those
+    first rows, one for each range, are found among ``rows`` and derived on their
+    own.  Rows that share a key follow each other by a hash of the other columns
+    of ``rows``, null keys come last.
     """
-    dealt = rows.withColumn("_bucket", range_buckets(source, key))
-    ordered = Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_last(), F.xxhash64(*columns))
-    led = dealt.select("*", *(F.lead(c).over(ordered).alias(f"next_{c}") for c in columns),
-                       F.lead(F.lit(True)).over(ordered).alias("_followed"), F.row_number().over(ordered).alias("_n"))
-    first = led.where("_n = 1").select(F.col("_bucket").alias("_at"), *(F.col(c).alias(f"_first_{c}") for c in columns))
+    bucket = range_buckets(rows, key)
+    tie = F.xxhash64(*(c for c in rows.columns if c != key))
+    placed = rows.select("*", bucket.alias("_bucket"), tie.alias("_tie"))
+    ordered = Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_last(), "_tie")
+    led = derive(placed).select("*", *(F.lead(c).over(ordered).alias(f"next_{c}") for c in columns),
+                                F.lead(F.lit(True)).over(ordered).alias("_followed"))
+    first = placed.select("*", F.row_number().over(ordered).alias("_n")).where("_n = 1")
+    border = derive(first).select(F.col("_bucket").alias("_at"), *(F.col(c).alias(f"_first_{c}") for c in columns))
     # One narrow row for each range.
     every = Window.orderBy("_at")
-    after = first.select("_at").select(
+    after = placed.select(F.col("_bucket").alias("_at")).distinct().select(
         F.col("_at").alias("_bucket"),
         F.coalesce(F.lead("_at").over(every), F.min("_at").over(Window.partitionBy(F.lit(0)))).alias("_at"))
-    border = after.join(first, "_at").drop("_at")
-    return led.join(border, "_bucket").select(*rows.columns, *(
+    border = after.join(border, "_at").drop("_at")
+    kept = [c for c in led.columns if not c.startswith(("next_", "_"))]
+    return led.join(border, "_bucket").select(*kept, *(
         F.when(F.col("_followed"), F.col(f"next_{c}")).otherwise(F.col(f"_first_{c}")).alias(f"next_{c}")
         for c in columns))
 
@@ -170,7 +176,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     rows = docs.select("doc_id", null_to_empty(F.col("text")).alias("text"))
-    rows = with_next(with_fingerprint(rows, "text", "sig"), docs, "doc_id", ["text", "sig"])
+    rows = with_next(rows, "doc_id", ["text", "sig"], lambda df: with_fingerprint(df, "text", "sig"))
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), "sig", "next_sig",
