@@ -1,9 +1,8 @@
 """cartwheel — engagement analytics and product recommendation on Spark.
 
-Every public operator is a function ``DataFrame -> DataFrame`` that stays on
-the executors: no ``toPandas``, no ``collect`` of data, no row-at-a-time
-Python in the hot path.  Column names are parameters with snake_case
-defaults.
+Every public operator is a function ``DataFrame -> DataFrame`` whose data stays
+on the executors; the driver sees scalars and fitted weights of bounded size.
+Column names are parameters with snake_case defaults.
 """
 
 from cartwheel.session import build_session, checkpoint_dir
