@@ -194,15 +194,20 @@ def _join_blocks(similarity: float):
             for hlo in range(0, len(at[0]), TILE[1]):
                 h = at[0][hlo:hlo + TILE[1]]
                 product = small[v] @ small[h].T
+                # One pass finds the few visitors that come near the limit at all.
+                near = np.flatnonzero(product.max(axis=1) >= similarity - _DOUBT)
+                if not len(near):
+                    continue
+                rows, product = v[near], product[near]
                 tile = product >= similarity + _DOUBT
                 i, j = np.nonzero((product >= similarity - _DOUBT) & ~tile)
                 for lo in range(0, len(i), 65_536):
                     a, b = i[lo:lo + 65_536], j[lo:lo + 65_536]
-                    tile[a, b] = (u[v[a]] * u[h[b]]).sum(axis=1) >= similarity
-                tile &= node[v][:, None] != node[h][None, :]
+                    tile[a, b] = (u[rows[a]] * u[h[b]]).sum(axis=1) >= similarity
+                tile &= node[rows][:, None] != node[h][None, :]
                 if tile.any():
-                    links += np.bincount(index[v], weights=tile @ copies[h], minlength=len(names)).astype(np.int64)
-                    ends.append(_linked(tile, index[v], index[h]))
+                    links += np.bincount(index[rows], weights=tile @ copies[h], minlength=len(names)).astype(np.int64)
+                    ends.append(_linked(tile, index[rows], index[h]))
         if not ends:
             return _FOUND_ARROW.empty_table()
         a, b = (np.concatenate([e[k] for e in ends]) for k in (0, 1))
