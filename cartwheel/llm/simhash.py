@@ -7,10 +7,13 @@ pairs of a group:
 2. Pigeonring filter.  The 64 bits are a ring of ``SEGMENTS`` segments.  If two
    fingerprints differ in at most ``TAU`` bits, some chain of consecutive
    segments keeps its cumulative differences within ``floor(l * TAU / SEGMENTS)``
-   for every length ``l``.  As long as this budget is zero the segments must be
+   for every length ``l``.  As long as the budget is zero the segments must be
    equal, so each fingerprint gives one key for each start of a chain: the
-   start and the bits of those leading segments (26 of 64).  A fingerprint that
-   shares none of its keys with another one has no partner and is dropped.
+   start and the bits of those leading segments (26 of 64).  As long as it is
+   one, the segments after them may differ in one bit: what shares a key gives
+   the bits of the longest such chain (51 or 52 of 64) with one of the later ones
+   left out, for each of them.  A fingerprint that shares none of these keys with
+   another one has no partner and is dropped.
 3. Full check on what is left.  Two values differ in at most two bits exactly if
    some value is within one bit of both.  Each fingerprint meets that value by
    giving itself and its 64 one-bit neighbours as keys; everything that meets
@@ -77,28 +80,61 @@ def segment_bounds(segments: int = SEGMENTS) -> list[tuple[int, int]]:
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
 
+def chain_lengths(segments: int = SEGMENTS, tau: int = TAU) -> tuple[int, int]:
+    """Longest chains whose budget ``floor(length * tau / segments)`` is 0 and at most 1."""
+    return tuple(max(n for n in range(segments + 1) if n * tau // segments <= budget) for budget in (0, 1))
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >= 1 << (BITS - 1) else mask
+
+
+def _chain_bits(start: int, first: int, last: int, segments: int) -> list[int]:
+    """Bit numbers of the segments ``first`` to ``last - 1`` of the chain from ``start``."""
+    bounds = segment_bounds(segments)
+    return [bit for step in range(first, last) for at, width in [bounds[(start + step) % segments]]
+            for bit in range(at, at + width)]
+
+
 def chain_keys(fp: Column, segments: int = SEGMENTS, tau: int = TAU) -> Column:
     """One key for each chain start: its number and the bits of the segments
     that the chain's zero budgets force to be equal."""
-    exact = next(n for n in range(1, segments + 1) if (n + 1) * tau // segments > 0)
-    bounds, keys = segment_bounds(segments), []
-    for start in range(segments):
-        mask = 0
-        for step in range(exact):
-            at, width = bounds[(start + step) % segments]
-            mask |= ((1 << width) - 1) << at
-        signed = mask - (1 << BITS) if mask >= 1 << (BITS - 1) else mask
-        keys.append(F.struct(F.lit(start).alias("start"), fp.bitwiseAND(F.lit(signed)).alias("bits")))
-    return F.array(*keys)
+    equal, _ = chain_lengths(segments, tau)
+    masks = [sum(1 << b for b in _chain_bits(start, 0, equal, segments)) for start in range(segments)]
+    return F.array(*(F.struct(F.lit(start).alias("start"), fp.bitwiseAND(F.lit(_signed(m))).alias("bits"))
+                     for start, m in enumerate(masks)))
+
+
+def masked_keys(fp: Column, start: Column, segments: int = SEGMENTS, tau: int = TAU) -> Column:
+    """Keys for the chain's budgets of one: the bits of the longest such chain with
+    one bit of its later segments left out.  Two values whose leading segments are
+    equal share one of them exactly if they differ in at most one bit there."""
+    equal, one = chain_lengths(segments, tau)
+    out = []
+    for s in range(segments):
+        whole = sum(1 << b for b in _chain_bits(s, 0, one, segments))
+        out.append(F.array(*(F.struct(F.lit(b).alias("left_out"), F.lit(_signed(whole & ~(1 << b))).cast("bigint").alias("mask"))
+                             for b in _chain_bits(s, equal, one, segments))))
+    return F.transform(F.get(F.array(*out), start), lambda m: F.struct(
+        m["left_out"].alias("left_out"), fp.bitwiseAND(m["mask"]).alias("bits")))
+
+
+def _sharing(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``keyed`` whose key another ``fp`` has too (counted by a pre-aggregate)."""
+    shared = (keyed.groupBy(*keys).agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
+              .where("lo <> hi").select(*keys))
+    return keyed.join(shared, keys, "left_semi")
 
 
 def with_partners(values: DataFrame, segments: int = SEGMENTS, tau: int = TAU) -> DataFrame:
-    """The distinct ``fp`` of ``values`` that share a chain key with another one."""
+    """The distinct ``fp`` of ``values`` that keep within the budgets of 0 and 1 of
+    some chain with another one (every ``fp`` that has a partner does)."""
     keyed = values.select("fp", F.explode(chain_keys(F.col("fp"), segments, tau)).alias("key")).select(
         "fp", "key.start", "key.bits")
-    shared = (keyed.groupBy("start", "bits").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
-              .where("lo <> hi").select("start", "bits"))
-    return keyed.join(shared, ["start", "bits"], "left_semi").select("fp").distinct()
+    equal = _sharing(keyed, ["start", "bits"]).select("fp", "start")
+    masked = equal.select("fp", "start", F.explode(masked_keys(F.col("fp"), F.col("start"), segments, tau)).alias("key"))
+    masked = masked.select("fp", "start", "key.left_out", "key.bits")
+    return _sharing(masked, ["start", "left_out", "bits"]).select("fp").distinct()
 
 
 def hamming_links(values: DataFrame) -> DataFrame:

@@ -139,6 +139,24 @@ def test_links_are_complete_for_every_bit_pair(spark):
     assert roots(len(values), links) == want
 
 
+@pytest.mark.parametrize("segments", [3, 5, 7, 9])
+def test_chain_filter_is_the_pigeonring_condition(spark, segments):
+    rng = random.Random(segments)
+    values = sorted({b ^ m for b in [rng.getrandbits(64) for _ in range(30)]
+                     for m in [0, *(sum({1 << rng.randrange(64) for _ in range(n)}) for n in (1, 2, 3, 3, 4, 5, 6, 8))]})
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    got = {r.fp for r in simhash.with_partners(spark.createDataFrame([(v,) for v in signed], "fp bigint"), segments).collect()}
+    bounds = simhash.segment_bounds(segments)
+
+    def chain(a, b):
+        """Whether some chain keeps within floor(l * 2 / segments) where that is at most 1."""
+        parts = [((a ^ b) >> at & (1 << width) - 1).bit_count() for at, width in bounds]
+        return any(all(sum(parts[(i + k) % segments] for k in range(n)) <= n * 2 // segments
+                       for n in range(1, segments + 1) if n * 2 // segments <= 1) for i in range(segments))
+
+    assert got == {s for v, s in zip(values, signed) if any(chain(v, w) for w in values if w != v)}
+
+
 def test_simhash_defined_cases(spark):
     rows = [(7, None), (3, ""), (9, "  "), (4, "one two"), (4, "one two"), (None, "ONE two"), (None, "lonely text of its own words")]
     got = sorted(((r.doc_id if r.doc_id is not None else 99), r.component_id if r.component_id is not None else -1)
