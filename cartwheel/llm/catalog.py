@@ -61,7 +61,7 @@ def op5_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(docs, F.col("doc_id"), F.col("text"))
 
 
-@query("op7_secret_scan")
+@query("op7_secret_scan", secrets.scan_sql())
 def op7_secret_scan(spark, sf_dir):
     """Secrets in every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -107,14 +107,44 @@ def op10_minhash_fingerprint(spark, sf_dir):
         minhash.likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
 
 
-@query("op2_substring_dedup")
+OP2_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20),
+windows AS (SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS k FROM places),
+later AS (SELECT doc_id, p FROM (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, COUNT(gone.i) AS n_removed,
+  coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone.i IS NULL), '') AS text
+  FROM words LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
 def op2_substring_dedup(spark, sf_dir):
     """Repeated sequences of 20 words removed from every document."""
     kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query("op3_embedding_dedup")
+OP3_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reached(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.vec_id),
+parts AS (SELECT vec_id, MIN(root) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, (SELECT COUNT(*) FROM links WHERE links.a = parts.vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM parts"""
+
+
+@query("op3_embedding_dedup", OP3_SQL)
 def op3_embedding_dedup(spark, sf_dir):
     """Near-duplicate groups of all embeddings."""
     return neighbours.near_duplicates(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")

@@ -160,3 +160,45 @@ def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
             F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out")))
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
         spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))))
+
+
+def scan_sql() -> str:
+    """DuckDB SQL for the registered query: windows are counted anew, not incrementally."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def spans(name: str, pattern: str, kind: int, keep: str) -> str:
+        # A match starts where the gaps and matches before it end.
+        return f"""{name}_m AS (SELECT doc_id, string_split_regex(text, {quoted(pattern)}) AS gaps, regexp_extract_all(text, {quoted(pattern)}) AS hits
+  FROM d WHERE regexp_matches(text, {quoted(pattern)})),
+{name}_i AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM {name}_m),
+{name} AS (SELECT doc_id, s, {kind} AS kind, s + length(hit) AS e FROM (
+  SELECT doc_id, hits[i] AS hit, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s FROM {name}_i) WHERE {keep})"""
+
+    limit = str(_limit(THRESHOLDS[-1][1]))
+    for pattern, bits in reversed(THRESHOLDS[:-1]):
+        limit = f"CASE WHEN regexp_matches(hit, {quoted(pattern)}) THEN {_limit(bits)} ELSE {limit} END"
+    allowed = " OR ".join(f"regexp_matches(hit, {quoted(p)})" for p in ALLOW)
+    plogp = "[" + ", ".join(map(str, _PLOGP)) + "]"
+    chars = f"string_split(substring(hit, p, {WINDOW}), '')"
+    score = (f"list_sum(list_transform(list_distinct({chars}), lambda c: {plogp}"
+             f"[len(list_filter({chars}, lambda x: x = c)) + 1]))")
+    surprising = (f"CASE WHEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT ({allowed}) THEN "
+                  f"list_min(list_transform(range(1, length(hit) - {WINDOW - 2}), lambda p: {score})) <= {limit} ELSE FALSE END")
+    names = "[" + ", ".join(map(quoted, KINDS)) + "]"
+    text = f"string_agg({names}[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind)"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{spans("assign", ASSIGN, 0, f"length(regexp_extract(hit, {quoted(ASSIGN)}, 2)) >= {ASSIGN_VALUE}")},
+{spans("access", ACCESS, 1, "TRUE")},
+{spans("hex", HEX, 2, "TRUE")},
+{spans("candidate", CANDIDATE, 3, surprising)},
+base AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM candidate c WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.s <= c.s AND b.e >= c.e)),
+b AS (SELECT doc_id, COUNT(*) FILTER (WHERE kind = 0) AS n_assign, COUNT(*) FILTER (WHERE kind = 1) AS n_access,
+  COUNT(*) FILTER (WHERE kind = 2) AS n_hex, {text} AS names FROM base GROUP BY doc_id),
+a AS (SELECT doc_id, {text} AS names FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b.names, '')) AS base_sha256, coalesce(a.names, '') AS spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)"""
