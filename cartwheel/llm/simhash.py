@@ -184,7 +184,6 @@ def deduplicate(df: DataFrame, key: str, text: str) -> DataFrame:
     checkpoint_dir(spark)
     # One struct holds the input's columns, so none can clash.
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
-    body = null_to_empty(F.col(f"row.`{text}`"))
     narrow = fingerprints(df, F.col(f"`{key}`"), F.col(f"`{text}`"), df.schema[key].dataType.simpleString()).checkpoint()
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("fp").alias("fp"))
     values = narrow.groupBy("fp").agg(F.min(order).alias("first"))
@@ -193,23 +192,23 @@ def deduplicate(df: DataFrame, key: str, text: str) -> DataFrame:
         "first", F.coalesce("root", "fp").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
         F.col("first.id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
-    marked = _with_fp(packed, body)
+    marked = _with_fp(packed, df.columns.index(text))
     met = marked.join(kept, marked["fp"].eqNullSafe(kept["kept_fp"]) & marked[f"row.{key}"].eqNullSafe(kept["kept_id"]))
     one = Window.partitionBy("kept_id", "kept_fp").orderBy(F.xxhash64("row"))
     return met.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
 
 
-def _with_fp(packed: DataFrame, body: Column) -> DataFrame:
-    """Add ``fp`` of the text ``body`` to packed rows."""
+def _with_fp(packed: DataFrame, text: int) -> DataFrame:
+    """Add ``fp`` to packed rows, made from field number ``text`` (null counts as empty)."""
     import pyarrow as pa
     from pyspark.sql.types import LongType, StructType
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                found = [fingerprint(t) for t in part.column("body").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found, pa.int64())], names=["row", "fp"])
+                row = batch.column(0).slice(lo, 256)
+                found = [fingerprint(t or "") for t in row.field(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([row, pa.array(found, pa.int64())], names=["row", "fp"])
 
     schema = StructType([packed.schema["row"]]).add("fp", LongType())
-    return packed.select("row", body.alias("body")).mapInArrow(run, schema)
+    return packed.mapInArrow(run, schema)
