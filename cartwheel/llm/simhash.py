@@ -190,11 +190,15 @@ def deduplicate(df: DataFrame, key: str, text: str) -> DataFrame:
     parts = connected_components(hamming_links(with_partners(values.select("fp"))))
     rooted = values.join(parts, values["fp"] == parts["node"], "left").select(
         "first", F.coalesce("root", "fp").alias("root"))
+    # One key for the join and the window, so that rows are shuffled once.
+    def place(row_id: Column, fp: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(row_id.cast("string"), F.lit("null")), fp.cast("string")).alias("place")
+
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
-        F.col("first.id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
+        place(F.col("first.id"), F.col("first.fp")))
     marked = _with_fp(packed, df.columns.index(text))
-    met = marked.join(kept, marked["fp"].eqNullSafe(kept["kept_fp"]) & marked[f"row.{key}"].eqNullSafe(kept["kept_id"]))
-    one = Window.partitionBy("kept_id", "kept_fp").orderBy(F.xxhash64("row"))
+    met = marked.select("row", place(F.col(f"row.`{key}`"), F.col("fp"))).join(kept, "place", "left_semi")
+    one = Window.partitionBy("place").orderBy(F.xxhash64("row"))
     return met.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
 
 
