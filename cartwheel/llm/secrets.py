@@ -48,6 +48,10 @@ ALLOW = (
     r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{6}|[*]{4}",
     r"0123456789|abcdefghij|ABCDEFGHIJ",
 )
+# The first of them as the executors test it, part by part: Java's matcher recurses
+# for each repetition of a group, so a candidate of many parts would end its JVM.
+SEPARATOR = "[+/_=-]+"
+PLAIN_PART = "^([A-Z]?[a-z]+|[A-Z]+|[0-9]+)$"
 # c * log2(c) in fixed point, so that sums do not depend on their order.
 _UNIT = 1 << 24
 _PLOGP = [round(c * math.log2(c) * _UNIT) if c else 0 for c in range(WINDOW + 2)]
@@ -110,8 +114,9 @@ def _surprising(candidate: Column) -> Column:
     limit = F.lit(_limit(THRESHOLDS[-1][1]))
     for pattern, bits in reversed(THRESHOLDS[:-1]):
         limit = F.when(candidate.rlike(pattern), F.lit(_limit(bits))).otherwise(limit)
-    allowed = F.lit(False)
-    for pattern in ALLOW:
+    parts = F.filter(F.split(candidate, SEPARATOR, -1), lambda part: part != "")
+    allowed = (F.size(parts) > 0) & F.forall(parts, lambda part: part.rlike(PLAIN_PART))
+    for pattern in ALLOW[1:]:
         allowed = allowed | candidate.rlike(pattern)
     mixed = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
     return F.when(mixed & ~allowed, least_predictable(candidate) <= limit).otherwise(F.lit(False))

@@ -135,6 +135,24 @@ def test_secrets_equal_brute_force(spark):
     assert some > 5
 
 
+def test_secrets_in_a_candidate_of_many_parts(spark):
+    plain = "w-1-" * 50_000
+    texts = [plain, plain + "q9Zx7Lm2Vb8Tn4Rk1Ws6Yp3Hd", "Word/" * 100_000 + "2024", "w-1-" * 50_000 + "aB"]
+    out = secrets.scan(frame(spark, list(enumerate(texts))), F.col("text"), F.col("doc_id")).collect()
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in out}
+    assert found == {0: [], 1: [(0, 3, len(texts[1]))], 2: [], 3: []}
+
+
+def test_allow_list_equals_its_pattern(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice(["word", "Word", "WORD", "WOrd", "a", "B", "7", "2024", "-", "--", "/", "+", "_="])
+                     for _ in range(rng.randint(6, 12))) + rng.choice(["1-a", "a/1/", "q9Zx7Lm2Vb8Tn4Rk1Ws6Yp3Hd"]) for _ in range(400)]
+    out = secrets.scan(frame(spark, list(enumerate(words))), F.col("text"), F.col("doc_id")).collect()
+    assert all([tuple(s) for s in r.spans] == sorted(brute_base(words[r.doc_id]) + brute_entropy(words[r.doc_id])) for r in out)
+    allowed = sum(bool(re.search(secrets.ALLOW[0], w)) for w in words)
+    assert 10 < allowed < len(words) - 10
+
+
 def test_secret_query_runs_no_python(spark):
     df = QUERIES["op7_secret_scan"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
