@@ -40,6 +40,9 @@ HINTS = frozenset(
     "breadcrumb breadcrumbs menu menus nav navbar navigation pagination pager footer masthead topbar toolbar skip "
     "comment comments commentlist respond reply replies disqus discussion feedback copyright disclaimer hidden".split())
 PARTS = ("article", "main")
+# Skipped elements that can hold a whole page, and those that can hold its article.
+WRAPS = frozenset("form fieldset label".split())
+SIDES = frozenset("aside nav footer dialog menu".split())
 # A start tag that ends an open element of the same row.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}}
@@ -71,9 +74,7 @@ class _Tree:
 
 
 def _marked(tag: str, attributes: str) -> bool:
-    """Whether an element's tag, role or class says that it is not article text."""
-    if tag in SKIP:
-        return True
+    """Whether an element's role or class says that it is not article text."""
     if tag in ("body", "html", *PARTS) or not attributes:
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -149,21 +150,64 @@ def _parse(page: str) -> _Tree:
 
 
 def _kept(tree: _Tree) -> list[bool]:
-    """Elements outside everything marked; a mark around an article does not count."""
+    """Elements outside everything marked.
+
+    A mark around an article does not count, nor does a form (fieldset, label)
+    that holds most of the page's text.  A side element (aside, nav, footer,
+    dialog, menu) around an article keeps its mark where the page has another
+    article outside and the side holds less than the rest.  Input controls are
+    always left out.
+    """
     n = len(tree.tag)
     holds, inside = [False] * n, [False] * n
     for i in range(n - 1, 0, -1):
         if tree.tag[i] in PARTS or holds[i]:
             holds[tree.parent[i]] = True
-    kept = [True] * n
+    marked, unsure = [False] * n, []
     for i in range(1, n):
         up, tag = tree.parent[i], tree.tag[i]
         inside[i] = inside[up] or tag in PARTS
-        marked = tree.hint[i] and (tag in SKIP or not holds[i]) or (tag == "header" and not inside[up] and not holds[i])
-        kept[i] = kept[up] and not marked
+        if tag in WRAPS:
+            marked[i] = not holds[i]
+            if marked[i] and not tree.hint[i]:
+                unsure.append(i)
+        elif tag in SKIP:
+            marked[i] = True
+            if tag in SIDES and holds[i]:
+                unsure.append(i)
+        else:
+            marked[i] = tree.hint[i] and not holds[i] or (tag == "header" and not inside[up] and not holds[i])
+    if unsure:
+        _unmark(tree, marked, unsure, inside)
+    kept = [True] * n
+    for i in range(1, n):
+        kept[i] = kept[tree.parent[i]] and not marked[i]
     return kept
 
 
+def _unmark(tree: _Tree, marked: list[bool], unsure: list[int], inside: list[bool]) -> None:
+    """Clear the marks of the ``unsure`` elements that hold the page's text."""
+    n = len(tree.tag)
+    sure, seen, outside, size = list(marked), [True] * n, [True] * n, [0] * n
+    for i in unsure:
+        sure[i] = False
+    for i in range(1, n):
+        seen[i] = seen[tree.parent[i]] and not sure[i]
+        outside[i] = outside[tree.parent[i]] and not marked[i]
+    for item in tree.items:
+        if item and seen[item[0]]:
+            size[item[0]] += len("".join(item[1].split()))
+    for i in range(n - 1, 0, -1):
+        size[tree.parent[i]] += size[i]
+    article = any(outside[i] and size[i] and tree.tag[i] in PARTS for i in range(n))
+    for i in unsure:
+        most = size[i] * 2 > size[0]
+        if tree.tag[i] in SIDES:
+            marked[i] = article and not most
+        else:
+            marked[i] = not (most and (inside[i] or not article))
+
+
 def _content(tree: _Tree, kept: list[bool]) -> int:
     """The element that holds the article."""
     n, tag, parent = len(tree.tag), tree.tag, tree.parent
@@ -223,7 +267,8 @@ def _widened(tree: _Tree, kept: list[bool], chars: list[int], body: int, best: i
         if under[i] and kept[i] and tag[i] in PARTS and chars[i] * 2 >= chars[best]:
             return i
     # Else the widest element below the body to which it adds much of its text.
-    while best != body and parent[best] not in (body, 0) and parent[best] > 0:
+    # (a form around the page counts as the body).
+    while best != body and parent[best] not in (body, 0) and parent[best] > 0 and tag[parent[best]] not in WRAPS:
         up = parent[best]
         if chars[up] - chars[best] < chars[best] // 5 and tag[best] not in INLINE and tag[best] != "p":
             break

@@ -187,6 +187,28 @@ def test_main_text_without_marks_uses_density():
     assert got == "\n\n".join("word " * 40 + f"{i}." for i in range(5))
 
 
+def test_main_text_inside_a_skipped_element():
+    words = " ".join(f"Word{i}" for i in range(60))
+    part = f"<h1>Title</h1><p>{words}</p><p>{words} again</p>"
+    want = f"Title\n\n{words}\n\n{words} again"
+    menu = "<nav><a href=/>Home</a></nav>"
+    controls = "<input type=hidden name=__VIEWSTATE value=x><select><option>one</select><button>Go</button><textarea>t</textarea>"
+    for tag in ("form", "fieldset", "label", "aside", "nav", "footer", "dialog", "menu"):
+        for inner in ("article", "main"):
+            page = f"<body><{tag}>{controls}<{inner}>{part}</{inner}></{tag}></body>"
+            assert html_text.main_text(page) == want, (tag, inner)
+    form = "<form method=post action=./Default.aspx id=aspnetForm>"
+    assert html_text.main_text(f"<body>{form}{menu}{controls}<article>{part}{controls}</article><footer>c</footer></form></body>") == want
+    assert html_text.main_text(f"<body><main>{form}<article>{part}</article></form></main></body>") == want
+    # Without an article element the form that holds the page's text counts as its body.
+    links = "<div>" + "".join(f"<a href=/{i}>Topic number {i}</a>" for i in range(20)) + "</div>"
+    assert html_text.main_text(f"<body>{form}{menu}{links}<div>{part}{controls}</div></form></body>") == want
+    # Marks of what is beside the article stay.
+    side = f"<aside><article><p>{words}</p></article></aside>"
+    assert html_text.main_text(f"<body><main>{part}{side}</main>{side}<form><p>{words}</form></body>") == want
+    assert html_text.main_text(f"<body><article>{part}<form class=newsletter><p>{words}</form></article></body>") == want
+
+
 def test_main_text_defined_cases():
     assert html_text.main_text("") == "" and html_text.main_text("<p></p><br>") == ""
     assert html_text.main_text("just &lt;text") == "just <text"
