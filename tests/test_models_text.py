@@ -107,6 +107,13 @@ def test_embedding_chain(spark):
     assert rows[2].final_embedding == [0.0] * 16
 
 
+def test_word2vec_query_has_the_default_width(spark):
+    from cartwheel.plans.catalog_vectors import word2vec_embedding
+    from conftest import SF_SMALL
+    rows = word2vec_embedding(spark, SF_SMALL).collect()
+    assert len(rows) == 40 and {len(r.embedding) for r in rows} == {VE.DEFAULT_DIM}
+
+
 def test_zero_fallback_reproduces_reference(spark):
     df = spark.createDataFrame([([3.0, 3.0], [0.0, 3.0])], "title_embedding array<float>, text_embedding array<float>")
     ref = VE.combine_review_embeddings(df, dim=2, zero_fallback=True).first().combined_embedding
