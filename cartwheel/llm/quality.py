@@ -81,8 +81,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     """At most ``rows`` texts of each label, chosen by a seeded hash of their id.
 
     Rows are picked from the narrow label table first, so the semi-join's other
-    side has at most ``2 * rows`` rows and is safe to broadcast.  Ids with
-    contradicting labels, null labels and texts over ``chars`` are left out.
+    side has at most ``2 * rows`` rows and is safe to broadcast.  An id with
+    several texts gives the one with the least hash.  Ids with contradicting
+    labels, null labels and texts over ``chars`` are left out.
     """
     known = (labels.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi"))
              .where(F.col("lo").isin(0, 1) & (F.col("lo") == F.col("hi")) & F.col("doc_id").isNotNull())
@@ -92,9 +93,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
         known.where("quality = 0").orderBy("order").limit(rows))
     found = (docs.join(F.broadcast(picked), "doc_id")
              .where(F.col("text").isNotNull() & (F.length("text").between(1, chars)))
-             .select("order", "text", "quality"))
+             .groupBy("order", "quality")
+             .agg(F.min_by("text", F.struct(F.md5(F.col("text").cast("binary")), "text")).alias("text")))
     # The bounded sample: its order is the seeded hash, never the row order.
-    return [(r.text, r.quality) for r in sorted(found.distinct().collect(), key=lambda r: (r.order, r.text))]
+    return [(r.text, r.quality) for r in sorted(found.collect(), key=lambda r: (r.order, r.text))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES,

@@ -1,5 +1,6 @@
 """Classifier, mixing and the whole pipeline."""
 
+import hashlib
 import zlib
 
 import pytest
@@ -36,6 +37,15 @@ def test_held_out_labels_are_never_read(spark):
     assert quality.fit(docs, labels.where(~held)) == quality.fit(docs, flipped.where(~held))
 
 
+def test_sample_has_one_text_for_each_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(40)] + [(2, "b"), (2, "b"), (3, "c"), (4, None)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id bigint, quality int")
+    want = min((f"text {i}" for i in range(40)), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    for given in (docs, docs.orderBy(F.desc("text")).repartition(7)):
+        assert sorted(quality.labelled_sample(given, labels, rows=5)) == [("b", 0), ("c", 1), (want, 1)]
+
+
 def test_classifier_defined_cases(spark):
     rows = [(i, f"good words {i} of plain prose " * 5) for i in range(60)] + [(100 + i, f"%%% ### {i} &&& $$$ " * 8) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
