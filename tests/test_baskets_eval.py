@@ -94,3 +94,19 @@ def test_metrics_long_and_best(spark):
     best = {r.metric: r.model_type for r in EV.best_model(m).collect()}
     assert best == {"precision_at_k": "b", "recall_at_k": "a"}
     assert EV.metrics_long(m).count() == 4
+
+
+def test_product_itemsets_equal_brute_force(spark):
+    from collections import Counter
+    from itertools import combinations
+
+    from cartwheel.plans.catalog_baskets import product_itemsets
+    from conftest import SF_SMALL
+    held = {}
+    for r in spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey", "l_partkey").dropna().collect():
+        held.setdefault(r.l_orderkey, set()).add(r.l_partkey)
+    counts = Counter(s for own in held.values() for n in range(1, len(own) + 1) for s in combinations(sorted(own), n))
+    want = {"[" + " ".join(map(str, s)) + "]": c for s, c in counts.items() if c >= 0.001 * len(held)}
+    got = product_itemsets(spark, SF_SMALL).collect()
+    assert {r["items"]: r.freq for r in got} == want and len(got) == len(want)
+    assert max(r["size"] for r in got) >= 2
