@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, html_text, minhash, mixing, neighbours, quality, secrets, simhash, substrings, warc
+from cartwheel.llm import (bpe, html_text, minhash, mixing, neighbours, packing, quality, secrets, simhash, substrings,
+                           warc)
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -30,10 +31,10 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op6_bpe_encode")
@@ -157,3 +158,11 @@ def op1_source_mixing(spark, sf_dir):
     used = mixing.with_copies(docs, mixing.MIX, F.col("doc_id"), mixing.document_levels(), F.col("text"))
     return used.select(F.col("_key").alias("doc_id"), F.col("_domain").alias("domain"), F.col("_lang").alias("lang"),
                        F.col("_source").alias("source"), F.col("_tokens").alias("n_tokens"), F.col("_epoch").alias("epoch"))
+
+
+@query("op11_packing")
+def op11_packing(spark, sf_dir):
+    """Every document's tokens in sequences of at most 2048."""
+    docs = read_table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, F.col("doc_id"), F.col("text"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
