@@ -8,8 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (bpe, html_text, minhash, mixing, neighbours, packing, quality, secrets, simhash, substrings,
-                           warc)
+from cartwheel.llm import (bpe, divergence, html_text, minhash, mixing, neighbours, packing, quality, secrets, simhash,
+                           substrings, warc)
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
 
@@ -166,3 +166,9 @@ def op11_packing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, F.col("doc_id"), F.col("text"), tokenizer_path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_source_divergence", divergence.audit_sql())
+def op12_source_divergence(spark, sf_dir):
+    """Distances between the sources of each language, and the terms that mark a source."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"), F.col("lang"), F.col("source"), F.col("text"))
