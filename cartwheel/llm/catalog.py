@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (bpe, divergence, html_text, minhash, mixing, neighbours, packing, quality, secrets, simhash,
+from cartwheel.llm import (bpe, divergence, html_text, minhash, mixing, neighbours, packing, quality, secrets, simhash, spelling,
                            substrings, warc)
 from cartwheel.llm.common import read_table
 from cartwheel.session import ship_package
@@ -172,3 +172,9 @@ def op11_packing(spark, sf_dir):
 def op12_source_divergence(spark, sf_dir):
     """Distances between the sources of each language, and the terms that mark a source."""
     return divergence.audit(read_table(spark, sf_dir, "documents"), F.col("lang"), F.col("source"), F.col("text"))
+
+
+@query("op13_spelling_variants", spelling.variants_sql())
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all documents with the more frequent words that they misspell."""
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"))
