@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.plans.registry import register
 from cartwheel.streaming import events as ST
+from cartwheel.streaming import sessions as SE
 
 _TS = "strftime({e}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -22,7 +23,6 @@ def stream_daily_counts(spark, sf_dir):
     return ST.stream_daily_counts(ev).select(F.col("day").cast("string").alias("day"), "event_type", "count")
 
 
-# Closed sessions only: those whose end is at or before the final watermark.
 @register("stream_sessions", f"""
 WITH ev AS (SELECT user_id, ts FROM events WHERE ts IS NOT NULL),
 g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE
@@ -31,17 +31,13 @@ g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER
 s AS (SELECT *, SUM(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT user_id, {_TS.format(e='MIN(ts)')} AS session_start,
        {_TS.format(e="MAX(ts) + INTERVAL 30 MINUTE")} AS session_end, COUNT(*) AS count
-FROM s GROUP BY user_id, sid
-HAVING MAX(ts) + INTERVAL 30 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY""")
+FROM s GROUP BY user_id, sid""")
 def stream_sessions(spark, sf_dir):
-    ev = ST.event_stream(spark, _path(sf_dir))
-    # Append mode: a session is emitted once the watermark (max event time − 1 day)
-    # passes its end, and its state is dropped — bounded state on an endless stream.
-    res = ST.run_available(ST.session_counts(ev), "sessions")
+    """Every session of the stream, the open ones of the last day and late rows included."""
+    res = SE.stream_sessions(ST.event_stream(spark, _path(sf_dir)))
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    return res.select("user_id",
-                      F.date_format(ST.utc_wall_clock(F.col("s.start"), spark), fmt).alias("session_start"),
-                      F.date_format(ST.utc_wall_clock(F.col("s.end"), spark), fmt).alias("session_end"), "count")
+    return res.select("user_id", F.date_format(ST.utc_wall_clock(F.col("start"), spark), fmt).alias("session_start"),
+                      F.date_format(ST.utc_wall_clock(F.col("end"), spark), fmt).alias("session_end"), "count")
 
 
 @register("stream_dedup", """

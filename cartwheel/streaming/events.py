@@ -5,9 +5,11 @@ the source casts it.  Results go to parquet folders under the shared
 checkpoint folder; each query has its own checkpoint location, so a restarted
 driver or lost executor resumes from the last committed micro-batch.
 
-Daily counts (T1) and de-duplication (T3) keep no watermark and lose no late
-row.  Session windows (T2) need one: rows that arrive more than its delay
-behind the newest event are left out of their session.
+Daily counts (T1), sessions (T2, in ``sessions.py``) and de-duplication (T3) keep
+no watermark and lose no late row.  ``session_counts`` is Spark's own session
+window for consumers that want closed sessions only, once each: it has a
+watermark, and rows that arrive more than its delay behind the newest event are
+left out.
 """
 
 from __future__ import annotations
@@ -122,7 +124,7 @@ def _batches(events: DataFrame, name: str, build, partition_by: list | None = No
 
 def session_counts(events: DataFrame, user: str = "user_id", time: str = "event_time",
                    gap: str = "30 minutes", delay: str = "1 day") -> DataFrame:
-    """Events per activity session (session windows with a ``gap``)."""
+    """Closed sessions only: events per session window with a ``gap``, in append mode."""
     return (events.withWatermark(time, delay)
                   .groupBy(F.session_window(time, gap).alias("s"), user)
                   .agg(F.count(F.lit(1)).alias("count")))
