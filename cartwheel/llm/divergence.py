@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,11 +33,10 @@ from cartwheel.session import checkpoint_dir, ship_package
 MIN_DOCUMENTS = 10
 TOP_TERMS = 10
 # Entries (source and term) that a task holds before it spills a run, some 100 MB.
-BLOCK_ENTRIES = 400_000
+BLOCK_ENTRIES = 600_000
 # Sources on a side of a tile, and tiles that a task holds (512 KB each).
 TILE = 256
 MAX_TILES = 64
-_ONE_DOCUMENT = 1 << 36
 # ASCII letters in lower case and bytes of other characters; the rest parts terms.
 _TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _TERM_SQL = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -51,30 +51,41 @@ def terms(text: str) -> list[bytes]:
 
 def _runs(limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings of a block of documents, one run sorted by term for each block."""
-    postings: dict[tuple, dict[bytes, int]] = {}
-    entries = size = 0
+    postings: dict[tuple, tuple[Counter, Counter]] = {}
+    entries = 0
     for batch in batches:
         for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-            own = postings.setdefault((lang, source), {})
-            entries -= len(own)
-            for term, n in Counter(terms(text)).items():
-                own[term] = own.get(term, 0) + n + _ONE_DOCUMENT
-            entries += len(own)
-            size += len(text)
-            if entries >= limit or size >= _ONE_DOCUMENT >> 3:
+            n, docs = postings.setdefault((lang, source), (Counter(), Counter()))
+            entries -= len(n)
+            found = terms(text)
+            n.update(found)
+            docs.update(set(found))
+            entries += len(n)
+            if entries >= limit:
                 yield from _spill(postings)
-                postings, entries, size = {}, 0, 0
+                postings, entries = {}, 0
     yield from _spill(postings)
 
 
-def _spill(postings: dict) -> Iterator[pa.RecordBatch]:
-    rows = sorted((lang, term, source, n) for (lang, source), own in postings.items() for term, n in own.items())
-    for lo in range(0, len(rows), 20_000):
-        lang, term, source, n = zip(*rows[lo:lo + 20_000])
-        both = np.array(n, np.int64)
+def _spill(postings: dict[tuple, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    groups = sorted(postings)
+    sizes = [len(postings[g][0]) for g in groups]
+    coded = pa.array((t for g in groups for t in postings[g][0]), pa.binary(), size=sum(sizes)).dictionary_encode()
+    n = np.fromiter((x for g in groups for x in postings[g][0].values()), np.int64)
+    docs = np.fromiter((postings[g][1][t] for g in groups for t in postings[g][0]), np.int64)
+    alphabetic = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty_like(alphabetic)
+    rank[alphabetic] = np.arange(len(alphabetic), dtype=rank.dtype)
+    lang, source = (pa.array([g[i] for g in groups], pa.string()) for i in range(2))
+    langs = sorted({g[0] for g in groups})
+    group = np.repeat(np.arange(len(groups)), sizes)
+    code = coded.indices.to_numpy()
+    order = np.lexsort((group, rank[code], np.repeat([langs.index(g[0]) for g in groups], sizes)))
+    for lo in range(0, len(order), 20_000):
+        some = order[lo:lo + 20_000]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(source, pa.string()),
-             pa.array(both % _ONE_DOCUMENT), pa.array(both // _ONE_DOCUMENT)], names=["lang", "term", "source", "n", "docs"])
+            [lang.take(pa.array(group[some])), coded.dictionary.take(pa.array(code[some])).cast(pa.string()), source.take(pa.array(group[some])),
+             pa.array(n[some]), pa.array(docs[some])], names=["lang", "term", "source", "n", "docs"])
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
