@@ -129,9 +129,9 @@ def test_ship_package_is_idempotent_and_importable_on_workers(spark):
 
     def probe(batches):
         import pandas as pd
-        import cartwheel.operators.factors as fa  # imported on the Python worker
+        import cartwheel.operators.topk as tk  # imported on the Python worker
         for b in batches:
-            yield pd.DataFrame({"ok": [hasattr(fa, "_top_columns")] * len(b)})
+            yield pd.DataFrame({"ok": [hasattr(tk, "score_top_k")] * len(b)})
 
     out = spark.range(4).mapInPandas(probe, "ok boolean").collect()
     assert all(r.ok for r in out)
