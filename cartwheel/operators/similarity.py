@@ -8,8 +8,8 @@ DataFrame:
 2. every item column is scaled to unit L2 norm (norms are a ``groupBy``; the
    join back is broadcast by AQE only when the runtime size allows it);
 3. the dot products are an equi-join on (basket, block, block) with a partial
-   aggregate fused into the join stage, so only distinct ``(item, other)`` partial
-   sums are shuffled; a large basket is cut into blocks of items, whose pairs are
+   aggregate fused into the join stage, so only partial sums of distinct unordered
+   pairs are shuffled, each pair once; a large basket is cut into blocks of items, whose pairs are
    keys of bounded size;
 4. the top-k per item is ``row_number() <= k``, which Spark plans as a partial
    ``WindowGroupLimit`` before the exchange: a hot item never sends more than
@@ -73,13 +73,17 @@ def cosine_topk(triples: DataFrame, k: int = 10, basket: str = "basket", item: s
     # The de-duplicated matrix feeds the sizes, the norms and both join sides:
     # it is materialised once instead of re-scanning and re-aggregating.
     a = materialize(basket_matrix(triples, basket, item, qty).where(F.col("q") != 0))
-    scores = _pair_scores(a, digits, block_items)
+    pairs = _pair_scores(a, digits, block_items)
+    scores = pairs.select(F.explode(F.array(
+        F.struct("item", "rec_item", "score"),
+        F.struct(F.col("rec_item").alias("item"), F.col("item").alias("rec_item"), "score"))).alias("p")).select("p.*")
     ranked = top_k_per_group(scores, "item", [F.desc("score"), F.asc("rec_item")], k)
     return ranked.select("item", "rank", "rec_item", "score")
 
 
 def _pair_scores(a: DataFrame, digits: int, block_items: int) -> DataFrame:
-    """Dot products of unit item columns over an equi-join on (basket, block, block).
+    """Dot products of unit item columns (``item`` < ``rec_item``: each pair is summed and
+    shuffled once) over an equi-join on (basket, block, block).
 
     A basket of up to ``block_items`` items is one block.  A larger one is cut
     by a hash of the item: each row meets every block of its own basket once, so
@@ -96,7 +100,7 @@ def _pair_scores(a: DataFrame, digits: int, block_items: int) -> DataFrame:
     left = cut.select("basket", "item", "w", F.col("own").alias("b1"), every.alias("b2"))
     right = cut.select("basket", F.col("item").alias("rec_item"), F.col("w").alias("rw"),
                        F.col("own").alias("b2"), every.alias("b1"))
-    return (left.join(right, ["basket", "b1", "b2"]).where(F.col("item") != F.col("rec_item"))
+    return (left.join(right, ["basket", "b1", "b2"]).where(F.col("item") < F.col("rec_item"))
             .groupBy("item", "rec_item").agg(F.round(F.sum(F.col("w") * F.col("rw")), digits).alias("score")))
 
 

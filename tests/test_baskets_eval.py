@@ -2,6 +2,9 @@
 
 import itertools
 
+import pytest
+
+from pyspark.sql import functions as F
 
 from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
@@ -110,3 +113,69 @@ def test_product_itemsets_equal_brute_force(spark):
     got = product_itemsets(spark, SF_SMALL).collect()
     assert {r["items"]: r.freq for r in got} == want and len(got) == len(want)
     assert max(r["size"] for r in got) >= 2
+
+
+def test_candidates_of_each_items_first_partners_give_the_same_top_k(spark):
+    import random
+
+    from cartwheel.operators import similarity as sim
+    rnd = random.Random(3)
+    sets = [(sorted(rnd.sample("abcdefghijkl", rnd.randint(1, 4))), rnd.randint(1, 9)) for _ in range(60)]
+    itemsets = spark.createDataFrame(sets, "items array<string>, freq bigint")
+    long = spark.createDataFrame([(b, rnd.choice("abcdefghijklz")) for b in range(30) for _ in range(4)] + [(None, "a"), (99, None)],
+                                 "basket int, item string")
+
+    def top(size, **kw):
+        cand = B.itemset_candidates(itemsets, long, **kw)
+        return sorted(tuple(r) for r in sim.top_k_per_group(cand, "basket", [F.desc("score"), F.asc("item")], size).collect())
+
+    for k in (1, 3, 5):
+        assert top(k, k=k) == top(k)
+
+
+@pytest.mark.parametrize("min_confidence, min_lift", [(0.0, 0.0), (0.5, 0.0), (0.62, 1.05)])
+def test_level_wise_rules_equal_all_splits(spark, min_confidence, min_lift):
+    import random
+    rnd = random.Random(11)
+    baskets = [frozenset(rnd.sample("abcdef", rnd.randint(1, 6))) for _ in range(80)]
+    freq = {}
+    for b in baskets:
+        for r in range(1, len(b) + 1):
+            for s in itertools.combinations(sorted(b), r):
+                freq[s] = freq.get(s, 0) + 1
+    fi = spark.createDataFrame([(list(s), n) for s, n in freq.items()], "items array<string>, freq bigint")
+    got = {(tuple(r.antecedent), tuple(r.consequent)): (r.confidence, r.lift, r.support)
+           for r in B.rules_with_lift(fi, 80, min_lift, min_confidence).collect()}
+    want = {}
+    for s, n in freq.items():
+        for r in range(1, len(s)):
+            for c in itertools.combinations(s, r):
+                a = tuple(x for x in s if x not in c)
+                conf = n / freq[a]
+                lift = conf / (freq[c] / 80)
+                if conf >= min_confidence and lift >= min_lift:
+                    want[a, c] = (conf, lift, n / 80)
+    assert got.keys() == want.keys() and len(want) > 20
+    assert all(abs(x - y) < 1e-12 for k in want for x, y in zip(got[k], want[k]))
+
+
+def test_rules_of_an_itemset_of_forty_items(spark):
+    items = [f"i{j:02d}" for j in range(40)]
+    without = lambda *gone: [x for x in items if x not in gone]
+    sets = [(items, 10), *((without(x), 10 if x in ("i03", "i17", "i30") else 100) for x in items), *(([x], 20) for x in items)]
+    for pair in itertools.combinations(("i03", "i17", "i30"), 2):
+        sets += [(without(*pair), 11), (list(pair), 15)]
+    sets += [(without("i03", "i17", "i30"), 40), (["i03", "i17", "i30"], 12)]
+    sets += [(without("i30", x), 200) for x in items if x > "i30"] + [(without("i17", x), 200) for x in items if x > "i17" and x != "i30"]
+    sets += [(without("i03", x), 200) for x in items if x > "i03" and x not in ("i17", "i30")]
+    fi = spark.createDataFrame(sets, "items array<string>, freq bigint")
+    rules = B.rules_with_lift(fi.where(F.size("items") != 39).unionByName(fi.where(F.size("items") == 39)), 100, 0.0, 0.5)
+    got = sorted(tuple(r.consequent) for r in rules.collect() if len(r.antecedent) + len(r.consequent) == 40)
+    assert got == [("i03",), ("i03", "i17"), ("i03", "i30"), ("i17",), ("i17", "i30"), ("i30",)]
+
+
+def test_rules_without_pairs_are_empty(spark):
+    fi = spark.createDataFrame([(["a"], 3)], "items array<string>, freq bigint")
+    rules = B.rules_with_lift(fi, 5, 0.0)
+    assert rules.count() == 0 and rules.columns == ["antecedent", "consequent", "support", "confidence", "lift"]
+    assert B.rules_with_lift(fi.limit(0), 5, 0.0).count() == 0

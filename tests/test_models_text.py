@@ -111,7 +111,7 @@ def test_word2vec_query_has_the_default_width(spark):
     from cartwheel.plans.catalog_vectors import word2vec_embedding
     from conftest import SF_SMALL
     rows = word2vec_embedding(spark, SF_SMALL).collect()
-    assert len(rows) == 40 and {len(r.embedding) for r in rows} == {VE.DEFAULT_DIM}
+    assert len(rows) == 200 and {len(r.embedding) for r in rows} == {VE.DEFAULT_DIM}
 
 
 def test_zero_fallback_reproduces_reference(spark):
