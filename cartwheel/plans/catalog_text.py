@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import text as TX
 from cartwheel.operators import features as FE
+from cartwheel.operators import learned as LE
 from cartwheel.operators import textops as TO
 from cartwheel.plans import oracle_views as V
 from cartwheel.plans.registry import register
@@ -143,3 +144,20 @@ def model_hook(spark, sf_dir):
         F.round(F.get("s", F.lit(0))["score"], 9).alias("sentiment_score"),
         F.array_join(F.transform("v", lambda x: x.cast("bigint").cast("string")), " ").alias("embedding"),
         F.size("w").alias("embedded"))
+
+
+@register("learned_topics")
+def learned_topics(spark, sf_dir):
+    """M10 from data: a topic model of all reviews, and each review's topics above 0.4 (rows-only)."""
+    rv = tables.reviews(spark, sf_dir).select("review_id", "review_text")
+    model = LE.fit_topics(rv, "review_text", max_iter=10)
+    return LE.add_learned_topics(rv, model, "review_text").select("review_id", F.array_join("topics", "|").alias("topics"))
+
+
+@register("learned_sentiment")
+def learned_sentiment(spark, sf_dir):
+    """M11 from labels: fitted on the rated reviews, given for all (rows-only)."""
+    rv = tables.reviews(spark, sf_dir).select("review_id", "review_text", F.col("product_rating").cast("int").alias("rating"))
+    out = LE.add_learned_sentiment(rv, LE.fit_sentiment(rv, "review_text", "rating"), "review_text")
+    return out.select("review_id", F.get("sentiment", F.lit(0))["label"].alias("sentiment_label"),
+                      F.round(F.get("sentiment", F.lit(0))["score"], 9).alias("sentiment_score"))
