@@ -4,10 +4,12 @@ aggregation; nothing is collected to the driver."""
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Iterator
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,37 +93,44 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
                          F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
+def _kernel_sums(grid_size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum of the task's Gaussian kernels at each grid point; nothing without values or
+    spread."""
+    total = None
+    for batch in batches:
+        x, h, start, step = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        for lo in range(0, len(x), 4096):
+            if not h[lo] > 0:
+                continue
+            z = ((start[lo] + step[lo] * np.arange(grid_size))[None, :] - x[lo:lo + 4096, None]) / h[lo]
+            part = np.exp(-0.5 * z * z).sum(axis=0)
+            total = part if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["k"])
+
+
 def kde(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on a ``grid_size``-point grid over
     [min − cut·h, max + cut·h], bandwidth ``h = σ·n^(-1/5)`` (Scott's rule).
 
-    Each value gives its kernel at all grid points as one vector and the vectors
-    are summed (``Summarizer.sum``, a partial aggregate): no row per grid point,
-    no shuffle of values.
+    Each task adds up the kernels of its values at the grid points and returns one
+    vector; the tasks' vectors are summed by point.  No value is shuffled.
     """
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     stats = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                      F.min("x").alias("mn"), F.max("x").alias("mx"))
-    n = stats.select("n").scalar()
-    h = stats.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
-    start = stats.select(F.col("mn") - F.lit(cut) * F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
-    stop = stats.select(F.col("mx") + F.lit(cut) * F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
-    step = (stop - start) / F.lit(grid_size - 1)
-    # Scalars become columns first: lambdas cannot hold subqueries.
+    spread = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    low, high = F.col("mn") - F.lit(cut) * spread, F.col("mx") + F.lit(cut) * spread
+    one = stats.select(F.struct("n", spread.alias("h"), low.alias("start"), ((high - low) / F.lit(grid_size - 1)).alias("step")).alias(
+        "s")).scalar()
+    n, h, start, step = (one[c] for c in ("n", "h", "start", "step"))
     placed = vals.select("x", h.alias("h"), start.alias("start"), step.alias("step"))
-
-    def kernel(point):
-        z = ((F.col("start") + F.col("step") * point) - F.col("x")) / F.col("h")
-        return F.exp(F.lit(-0.5) * z * z)
-
-    kernels = placed.select(F.transform(F.sequence(F.lit(0), F.lit(grid_size - 1)), kernel).alias("k"))
-    total = kernels.agg(Summarizer.sum(array_to_vector("k")).alias("s"))
-    norm = F.lit(1.0 / math.sqrt(2.0 * math.pi)) / (n * h)
-    return (total.where(F.col("s").isNotNull()).select(F.posexplode(vector_to_array("s")).alias("point", "s"))
-            .select(F.col("point").cast("int").alias("point"),
-                    F.round(start + step * F.col("point"), 9).alias("x"),
-                    F.round(F.col("s") * norm, 9).alias("density")))
+    kernels = placed.mapInArrow(functools.partial(_kernel_sums, grid_size), "k array<double>")
+    total = kernels.select(F.posexplode("k").alias("point", "s")).groupBy("point").agg(F.sum("s").alias("s"))
+    norm = F.try_divide(F.lit(1.0 / math.sqrt(2.0 * math.pi)), n * h)
+    return total.select("point", F.round(start + step * F.col("point"), 9).alias("x"),
+                        F.round(F.col("s") * norm, 9).alias("density"))
 
 
 def word_frequencies(df: DataFrame, text: str, n: int = 20, tokens: Column | None = None) -> DataFrame:
@@ -169,3 +178,19 @@ def correlations(df: DataFrame, cols: list, digits: int = 9) -> DataFrame:
                                             for x in (F.lit(a), F.lit(b), F.col(f"{a}__{b}"))])
     return wide.select(stacked.alias("col_a", "col_b", "corr")).withColumn(
         "corr", F.round("corr", digits))
+
+
+# Registers of a distinct-count sketch: 2^12, for a standard error of 1.04 / 2^6.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, group: str, value: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """A4, mergeable: one HyperLogLog sketch of the distinct ``value`` for each ``group``
+    (``group``, ``sketch`` binary of bounded size), to be stored and merged later.
+    Null values are not counted."""
+    return df.groupBy(group).agg(F.hll_sketch_agg(F.col(value), bits).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, *keys, sketch: str = "sketch") -> DataFrame:
+    """Distinct counts over groups of stored sketches: ``keys`` and ``estimate``."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias("estimate"))

@@ -123,3 +123,20 @@ def basket_quantities(spark, sf_dir):
     return X.basket_quantities(li.select(F.col("l_orderkey").alias("basket"),
                                          F.col("l_partkey").alias("item"), "l_quantity"),
                                "basket", "item", "l_quantity")
+
+
+# Three standard errors of a sketch of 2^12 registers.
+_SKETCH_BOUND = 3 * 1.04 / 64
+
+
+@register("weekly_users_sketch", I + """
+SELECT CAST(CAST(date_trunc('week', event_time) AS DATE) AS VARCHAR) AS week, COUNT(DISTINCT user_id) AS users, TRUE AS within_bound
+FROM interactions GROUP BY 1""")
+def weekly_users_sketch(spark, sf_dir):
+    """A4: distinct users of a week merged from the days' sketches, held against the exact count."""
+    ev = tables.interactions(spark, sf_dir, with_attributes=False).select("user_id", F.to_date("event_time").alias("day"))
+    week = F.to_date(F.date_trunc("week", F.col("day"))).cast("string").alias("week")
+    merged = X.merged_distinct(X.distinct_sketches(ev, "day", "user_id"), week)
+    exact = ev.groupBy(week).agg(F.count_distinct("user_id").alias("users"))
+    off = F.abs(F.col("estimate") - F.col("users"))
+    return exact.join(merged, "week").select("week", "users", (off <= F.col("users") * _SKETCH_BOUND).alias("within_bound"))

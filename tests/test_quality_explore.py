@@ -82,3 +82,28 @@ def test_describe_pivot_corr(spark):
     assert p == {"x": (0, 2), "y": (1, 0)}
     c = X.correlations(df, ["a", "b"]).first()
     assert (c.col_a, c.col_b) == ("a", "b") and c.corr > 0.99
+
+
+def test_kde_of_many_parts_of_constant_and_of_no_values(spark):
+    rng = np.random.default_rng(1)
+    vals = rng.normal(size=9000)
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "x double").repartition(5)
+    out = X.kde(df, "x").orderBy("point").collect()
+    h = float(np.std(vals, ddof=1)) * len(vals) ** -0.2
+    want = [np.exp(-0.5 * ((r.x - vals) / h) ** 2).sum() / (len(vals) * h * math.sqrt(2 * math.pi)) for r in out]
+    assert len(out) == 200 and np.allclose([r.density for r in out], want, atol=1e-8)
+    assert X.kde(df.limit(0), "x").count() == 0
+    assert X.kde(spark.createDataFrame([(2.0,)] * 3, "x double"), "x").count() == 0
+
+
+def test_sketches_merge_to_the_distinct_count_of_the_range(spark):
+    df = spark.range(60_000).selectExpr("id % 7 AS day", "id % 20000 AS user", "id % 3 AS week")
+    daily = X.distinct_sketches(df.unionByName(df), "day", "user")
+    assert daily.count() == 7
+    whole = X.merged_distinct(daily).first().estimate
+    assert abs(whole - 20_000) <= 3 * 1.04 / 64 * 20_000
+    by_half = {r.late: r.estimate for r in X.merged_distinct(daily, (F.col("day") > 3).alias("late")).collect()}
+    exact = {late: len({i % 20000 for i in range(60_000) if (i % 7 > 3) == late}) for late in (False, True)}
+    assert all(abs(by_half[k] - n) <= 3 * 1.04 / 64 * n for k, n in exact.items())
+    nulls = spark.createDataFrame([(1, None), (1, 5), (2, None)], "day int, user bigint")
+    assert X.merged_distinct(X.distinct_sketches(nulls, "day", "user")).first().estimate == 1
