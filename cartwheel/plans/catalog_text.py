@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions import text as TX
 from cartwheel.operators import features as FE
 from cartwheel.operators import learned as LE
+from cartwheel.operators import lemmatiser as LM
 from cartwheel.operators import textops as TO
 from cartwheel.plans import oracle_views as V
 from cartwheel.plans.registry import register
@@ -161,3 +162,14 @@ def learned_sentiment(spark, sf_dir):
     out = LE.add_learned_sentiment(rv, LE.fit_sentiment(rv, "review_text", "rating"), "review_text")
     return out.select("review_id", F.get("sentiment", F.lit(0))["label"].alias("sentiment_label"),
                       F.round(F.get("sentiment", F.lit(0))["score"], 9).alias("sentiment_score"))
+
+
+@register("learned_lemmas", V.with_(V.REVIEWS, LM.lemmas_sql(
+    TX.LEMMAS, "review_id", V.sql_ws_tokens(V.sql_clean_text_stop("review_text")), "reviews", "lemmatized_text")))
+def learned_lemmas(spark, sf_dir):
+    """F4 by suffix rules learned from the lemma pairs, over whole cleaned texts."""
+    rv = tables.reviews(spark, sf_dir).select("review_id", "review_text")
+    pairs = spark.createDataFrame(sorted(TX.LEMMAS.items()), "word string, lemma string")
+    rules, exceptions = LM.learn_rules(pairs)
+    out = LM.lemmatize_texts(rv, TX.clean_text_stop("review_text"), rules, exceptions, "lemmatized_text")
+    return out.select("review_id", "lemmatized_text")
