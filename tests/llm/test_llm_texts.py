@@ -218,6 +218,122 @@ def test_main_text_defined_cases():
     assert html_text.main_text("<p title=\"a>b\">in quotes</p><p title='unclosed>rest</p>").startswith("in quotes")
 
 
+def article_with(part):
+    words = "A long plain paragraph of the article with many words in it. " * 4
+    return f"<body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>{words}</p>{part}<p>{words}</p></article><footer>c</footer></body>"
+
+
+@pytest.mark.parametrize("part, text", [
+    ('<h2 id="discussion">Discussion</h2>', "Discussion"),
+    ('<h2 id="related-work">Related work</h2>', "Related work"),
+    ('<h2 id="comments-on-method" class="comments">Comments on method</h2>', "Comments on method"),
+    ('<section id="discussion"><h2>On it</h2><p>' + "word " * 50 + "</p></section>", "word"),
+    ('<section id="feedback-control"><p>Loops with feedback.</p></section>', "Loops with feedback."),
+    ('<section id="cookies"><p>How to bake cookies.</p></section>', "How to bake cookies."),
+    ('<div class="section" id="comments"><p>What was remarked.</p></div>', "What was remarked."),
+    ('<p class="rail-travel">By rail.</p>', "By rail."), ('<p class="notice">Take notice.</p>', "Take notice."),
+    ("<p><label>A label as text</label></p>", "A label as text"),
+    ('<div class="notice"><p>An admonition.</p></div>', "An admonition."),
+    ('<table class="related"><tr><td>cell</td></tr></table>', "cell"),
+    ('<p title="hidden treasure" data-id="ad">Not hidden.</p>', "Not hidden."),
+])
+def test_marks_inside_an_article_do_not_beat_its_text(part, text):
+    assert text in html_text.main_text(article_with(part))
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="ad">GONE</div>', '<div id="newsletter"><p>GONE</p></div>', '<div class="share">GONE</div>',
+    '<section class="comments"><p>GONE</p></section>', '<ul class="related"><li><a href=x>GONE</a></li></ul>',
+    '<section id="comments"><div class="comment"><p>GONE</p></div></section>',
+    '<section id="discussion"><h3>GONE</h3><form><textarea></textarea></form></section>',
+    '<div class="reply comment">GONE</div><div class="reply comment">GONE</div>', '<div hidden>GONE</div>',
+    '<h2 style="display: none">GONE</h2>', '<aside class="sidebar">GONE</aside>', "<form><label>GONE</label><input></form>",
+    '<div role="complementary">GONE</div>', '<label for=x>GONE <input id=x></label>',
+])
+def test_furniture_and_comments_inside_an_article_go(part):
+    got = html_text.main_text(article_with(part))
+    assert "GONE" not in got and got.count("A long plain paragraph") == 8
+
+
+@pytest.mark.parametrize("shape", [
+    "<span>x<div>y</div>", "<div><b>x</b>", "<a ", '<a "x>y" ', "<ul><li><ul><span>", "<li></li></b><p>", "<p title='", "<td><b><p></i>",
+])
+def test_long_pages_take_linear_time(shape):
+    import time
+
+    page = shape * (1_000_000 // len(shape))
+    for whole in (page, page + ">"):
+        began = time.process_time()
+        html_text.main_text(whole)
+        assert time.process_time() - began < 5
+
+
+def brute_densest(node, whole):
+    """Composite text density by its definition; nodes are (tag, children), texts are strings."""
+    import math
+
+    def count(x):
+        if isinstance(x, str):
+            n = len("".join(x.split()))
+            return n, 0, 0, 0
+        parts = [count(c) for c in x[1]]
+        chars = sum(p[0] for p in parts)
+        links = chars if x[0] == "a" else sum(p[1] for p in parts)
+        elements = [c for c in x[1] if not isinstance(c, str)]
+        return (chars, links, sum(p[2] for p in parts) + len(elements),
+                sum(p[3] for p in parts) + sum(c[0] == "a" for c in elements))
+
+    all_chars, all_links = count(whole)[:2]
+
+    def density(x):
+        chars, links, tags, link_tags = count(x)
+        if not chars:
+            return 0.0
+        base = math.log(chars / max(chars - links, 1) * links + all_links / all_chars * chars + math.e)
+        ratio = chars / max(links, 1) * max(tags, 1) / max(link_tags, 1)
+        return chars / max(tags, 1) * max(math.log(ratio) / base, 0.0)
+
+    found = []
+
+    def walk(x, path):
+        own = density(x)
+        inner = sum(density(c) for c in x[1] if not isinstance(c, str))
+        found.append((own, inner if inner or x[0] in ("a", "b") else own, [*path, own]))
+        for c in x[1]:
+            if not isinstance(c, str):
+                walk(c, [*path, own])
+
+    walk(node, [])
+    peak = max(found, key=lambda f: f[0])
+    threshold = min(d for d in peak[2] if d)
+    return max(f[1] for f in found if f[0] >= threshold)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_density_sums_equal_the_definition(seed):
+    import random
+    rnd = random.Random(seed)
+
+    def grow(depth):
+        tag = rnd.choice(["div", "div", "section", "a", "b", "span"]) if depth else "body"
+        if tag in ("a", "b", "span"):
+            return (tag, ["word " * rnd.randint(1, 6)])
+        inner = [grow(depth + 1) if depth < 5 and rnd.random() < 0.7 else "text " * rnd.randint(0, 30) for _ in range(rnd.randint(1, 5))]
+        return (tag, inner)
+
+    def write(x):
+        return x if isinstance(x, str) else f"<{x[0]}>" + "".join(map(write, x[1])) + f"</{x[0]}>"
+
+    root = ("body", [grow(1) for _ in range(3)] + ["more text"])
+    tree = html_text._parse(write(root))
+    kept = html_text._kept(tree)
+    body, best, chars = html_text._densest(tree, kept)
+    assert all(kept) and tree.tag[body] == "body"
+    want = brute_densest(root, root)
+    sums = {i: html_text._densities(tree, kept)[1][i] for i in (best,)}
+    assert abs(sums[best] - want) < 1e-9 * max(1, want)
+
+
 def test_extract_query_equals_the_articles(spark):
     import html
     rows = {r.page_id: r for r in QUERIES["op8_html_extract"](spark, SF_SMALL).collect()}
