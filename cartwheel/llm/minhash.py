@@ -1,9 +1,11 @@
 """Document fingerprints by one-permutation MinHash, in DataFrame functions only.
 
 Every word shingle is hashed once.  The top bits of the hash choose one of
-``BINS`` bins and each bin keeps its least hash.  An empty bin copies a bin that
-universal hashing of (bin, attempt) finds first, the same for all documents
-(optimal densification).  Of each bin's value the low ``BITS`` bits are stored,
+``BINS`` bins and each bin keeps its least hash.  An empty bin copies the filled bin
+that comes first in an order of the bins of its own, the same for all documents
+(optimal densification): universal hashing of (bin, attempt) names the first
+``ASKED`` places, the least hash of (bin, filled bin) decides among all that are
+left, so the search always ends at a filled bin.  Of each bin's value the low ``BITS`` bits are stored,
 packed into 64-bit words.  The share of equal bins, corrected for chance
 agreement of the low bits, estimates the Jaccard likeness of the shingle sets.
 
@@ -17,11 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import null_to_empty, shuffle_partitions
+from cartwheel.session import checkpoint_dir
 
 BINS = 256
 BITS = 8
 WORDS = 5
-ATTEMPTS = 12
+# Bins that an empty bin asks by number before it ranks all filled ones.
+ASKED = 12
 _BIN_SHIFT = 63 - (BINS.bit_length() - 1)
 _PER_WORD = 64 // BITS
 _SPACES = " \t\n\x0b\x0c\r"
@@ -70,12 +74,13 @@ def with_fingerprint(df: DataFrame, text: str, out: str, words: int = WORDS) ->
     step = step.select(*kept, F.when(F.size(s) > BINS, F.transform(marks, lambda j: F.when(
         F.get(s, j + 1).bitwiseAND(one) == 1, F.get(s, j + 1)))).alias("_b"))
     b = F.col("_b")
-    asked = [F.array(*(F.lit(probe(i, a)) for i in range(BINS))) for a in range(ATTEMPTS)]
-    # Where all attempts miss, the bins are asked in turn.
-    rest = lambda i: F.get(F.filter(F.concat(
-        F.slice(b, i + 1, F.lit(BINS)), F.slice(b, F.lit(1), i + 1)), lambda v: v.isNotNull()), F.lit(0))
+    filled = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(b, i).isNotNull())
+    step = step.select(*kept, "_b", F.when(b.isNotNull(), filled).alias("_in"))
+    asked = [F.array(*(F.lit(probe(i, a)) for i in range(BINS))) for a in range(ASKED)]
+    ranked = lambda i: F.get(b, F.array_min(F.transform(
+        "_in", lambda j: F.struct(F.xxhash64(i, j).alias("h"), j.alias("j"))))["j"])
     full = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.coalesce(
-        F.get(b, i), *(F.get(b, F.get(p, i)) for p in asked), rest(i)))
+        F.get(b, i), *(F.get(b, F.get(p, i)) for p in asked), ranked(i)))
     step = step.select(*kept, F.when(b.isNotNull(), full).alias("_f"))
     f = F.col("_f")
 
@@ -135,19 +140,61 @@ def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 20_000, most:
             .otherwise((high - 1) * 256 + reached(inner)))
 
 
-def with_next(rows: DataFrame, key: str, columns: list[str], derive) -> DataFrame:
+def _ranges(rows: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
+    """``rows`` with ``_tie`` and ``_bucket``: ranges of (key, tie) in ascending order.
+
+    A key (or null) with more rows than a range holds is a range of its own, cut
+    into ranges of its tie.  A tie that still has more, that is, equal rows, is a range
+    of its own again, and its rows are dealt into parts in any order.
+    """
+    checkpoint_dir(rows.sparkSession)
+    tie = F.xxhash64(*(c for c in rows.columns if c != key))
+    # Numbered before any shuffle, so that every evaluation deals a row alike.
+    placed = rows.select("*", range_buckets(rows, key, rows_per_bucket).alias("_range"), tie.alias("_tie"),
+                         F.monotonically_increasing_id().alias("_id"))
+    whole = F.lit(0).cast("bigint")
+
+    def crowded(df: DataFrame, within: list[str], by: str, n: str) -> DataFrame:
+        """The values of ``by`` in ``within`` that have too many rows, with their parts."""
+        counts = df.groupBy(*within, by).agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias(n))
+        return counts.where(F.col(n) > 1).checkpoint()
+
+    def met(df: DataFrame, found: DataFrame, within: list[str], by: str, place: str) -> DataFrame:
+        """``df`` with the parts of a crowded value, and ``place``: a number that rises
+        with ``by`` and is a crowded value's own."""
+        names = {c: f"_at_{c}" for c in [*within, by]}
+        values = found.select(*(F.col(c).alias(x) for c, x in names.items()), found.columns[-1])
+        lists = values.groupBy(*(names[c] for c in within)).agg(F.sort_array(F.collect_list(names[by])).alias("_values"))
+        same = lambda cs: [F.col(c).eqNullSafe(F.col(names[c])) for c in cs]
+        out = df.join(values, same([*within, by]), "left").drop(*names.values()).join(lists, same(within), "left").drop(*names.values())
+        below = F.size(F.filter("_values", lambda v: v < F.col(by))) + F.size(F.filter("_values", lambda v: v <= F.col(by)))
+        return out.withColumn(place, F.coalesce(F.when(F.col("_values").isNotNull(), below), F.lit(0))).drop("_values")
+
+    hot = crowded(placed, ["_range"], key, "_cuts")
+    if hot.limit(1).count() == 0:
+        return placed.select("*", F.struct("_range", F.lit(0).alias("_key"), whole.alias("_cut"), F.lit(0).alias("_own"),
+                                           whole.alias("_part")).alias("_bucket")).drop("_range", "_id")
+    cut = met(placed, hot, ["_range"], key, "_key")
+    # The tie is a hash: its high half cuts it evenly.
+    high = F.shiftrightunsigned(F.col("_tie").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")), 32)
+    cut = cut.withColumn("_cut", F.coalesce(F.shiftrightunsigned(high * F.col("_cuts"), 32), whole))
+    equal = crowded(cut.where("_cuts IS NOT NULL"), ["_range", "_key", "_cut"], "_tie", "_parts")
+    cut = met(cut, equal, ["_range", "_key", "_cut"], "_tie", "_own")
+    part = F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_parts")), whole)
+    return cut.select(*rows.columns, "_tie", F.struct("_range", "_key", "_cut", "_own", part.alias("_part")).alias("_bucket"))
+
+
+def with_next(rows: DataFrame, key: str, columns: list[str], derive, rows_per_bucket: int = 20_000) -> DataFrame:
     """``derive(rows)`` with ``next_<column>`` of the row that follows by ``key``
     (after the last: the first), for ``columns`` of ``derive``'s result.
 
-    Rows are dealt out by key ranges and read in order within a range; the last
-    row of a range takes its values from the first row of the next range.  Those
+    Rows are dealt out by ranges of (key, tie) and read in order within a range; the
+    last row of a range takes its values from the first row of the next range.  Those
     first rows, one for each range, are found among ``rows`` and derived on their
     own.  Rows that share a key follow each other by a hash of the other columns
-    of ``rows``, null keys come last.
+    of ``rows``, null keys come last; neither is ever one task's work as a whole.
     """
-    bucket = range_buckets(rows, key)
-    tie = F.xxhash64(*(c for c in rows.columns if c != key))
-    placed = rows.select("*", bucket.alias("_bucket"), tie.alias("_tie"))
+    placed = _ranges(rows, key, rows_per_bucket)
     ordered = Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_last(), "_tie")
     led = derive(placed).select("*", *(F.lead(c).over(ordered).alias(f"next_{c}") for c in columns),
                                 F.lead(F.lit(True)).over(ordered).alias("_followed"))
@@ -172,8 +219,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     many (or all) of the next document by ascending ``doc_id``; the last document
     is followed by the first, a single one by itself.  A null text counts as
     empty.  Rows that share an id follow each other in an order that depends on
-    their texts only; null ids come last.  Other columns are ignored; an empty
-    table gives an empty result.
+    their texts only; null ids come last.  Texts of any length are read whole.  Other
+    columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select("doc_id", null_to_empty(F.col("text")).alias("text"))
     rows = with_next(rows, "doc_id", ["text", "sig"], lambda df: with_fingerprint(df, "text", "sig"))

@@ -258,17 +258,22 @@ def test_fingerprint_query(spark):
     assert max(map(abs, errors)) < 0.16 and abs(np.mean(errors)) < 0.01
 
 
-def brute_fingerprint(hashes):
+def bin_order(spark):
+    """xxHash64 of (empty bin, filled bin), as Spark computes it."""
+    pairs = spark.range(minhash.BINS ** 2).selectExpr(f"CAST(id DIV {minhash.BINS} AS INT) AS i", f"CAST(id % {minhash.BINS} AS INT) AS j")
+    return {(r.i, r.j): r.h for r in pairs.select("i", "j", F.xxhash64("i", "j").alias("h")).collect()}
+
+
+def brute_fingerprint(hashes, order):
     """Low bits of the densified bins of signed 64-bit shingle hashes."""
     bins = [None] * minhash.BINS
     for h in hashes:
         v = ((h & (2**64 - 1)) >> 1) | 1
         b = v >> minhash._BIN_SHIFT
         bins[b] = v if bins[b] is None else min(bins[b], v)
-    out = []
+    filled, out = [j for j in range(minhash.BINS) if bins[j] is not None], []
     for i in range(minhash.BINS):
-        tries = [i, *(minhash.probe(i, a) for a in range(minhash.ATTEMPTS)),
-                 *range(i, minhash.BINS), *range(i + 1)]
+        tries = [i, *(minhash.probe(i, a) for a in range(minhash.ASKED)), min(filled, key=lambda j: (order[i, j], j))]
         out.append(next(bins[t] for t in tries if bins[t] is not None) >> 1 & (1 << minhash.BITS) - 1)
     return out
 
@@ -277,12 +282,13 @@ def test_fingerprint_equals_brute_force(spark):
     rng = random.Random(9)
     texts = [" ".join(rng.choice(["ab", "cd", "Ef", "gh", "é"]) for _ in range(n)) for n in (1, 3, 5, 6, 12, 300, 3000)]
     df = minhash.with_fingerprint(spark.createDataFrame([(t,) for t in texts], "text string"), "text", "sig")
+    order = bin_order(spark)
     for r in df.collect():
         words = r.text.split()
         parts = [words[i:i + 5] for i in range(len(words) - 4)] or [[" ".join(words)]]
         hashed = spark.createDataFrame([(p,) for p in parts], "w array<string>").select(
             F.xxhash64(*(F.get("w", F.lit(i)) for i in range(len(parts[0]))))).collect()
-        want = brute_fingerprint([h[0] for h in hashed])
+        want = brute_fingerprint([h[0] for h in hashed], order)
         got = [(v & (2**64 - 1)) >> (8 * k) & 255 for v in r.sig for k in range(8)]
         assert got == want
 
@@ -300,3 +306,36 @@ def test_fingerprint_defined_cases(spark):
     assert minhash.fingerprint_edits(frame(spark, [])).count() == 0
     one = minhash.fingerprint_edits(frame(spark, [(5, "one two three")])).first()
     assert one.edited == "one two" + "one tw"
+
+
+@pytest.mark.parametrize("n", [5, 8, 12, 20])
+def test_short_texts_are_compared_as_well_as_long_ones(spark, n):
+    rng = random.Random(n)
+    rows = []
+    for i in range(500):
+        a = [f"w{rng.randrange(10**6)}" for _ in range(n + 4)]
+        b = list(a)
+        if i % 2:
+            b[rng.randrange(len(b))] = "other"
+        else:
+            b = b[:rng.randint(5, len(b))] + [f"v{rng.randrange(10**6)}" for _ in range(rng.randint(0, 6))]
+        rows.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame(rows, "a string, b string")
+    df = minhash.with_fingerprint(minhash.with_fingerprint(df, "a", "x"), "b", "y")
+    errors = [r.near - jaccard(r.a, r.b) for r in df.select("a", "b", minhash.likeness(F.col("x"), F.col("y")).alias("near")).collect()]
+    assert np.std(errors) < 0.05 and abs(np.mean(errors)) < 0.01
+
+
+@pytest.mark.parametrize("per_range", [2, 5, 1000])
+def test_next_rows_with_many_null_and_equal_ids(spark, per_range):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, None, 7, i]), f"text {rng.randrange(25)}") for i in range(120)] + [(7, "same")] * 30 + [(None, "none")] * 30
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = minhash.with_next(df, "doc_id", ["text"], lambda d: d, per_range).select("doc_id", "text", "next_text").collect()
+    tied = df.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+    order = [(r.doc_id, r.text) for r in sorted(tied, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.tie))]
+    want = [(*r, order[(i + 1) % len(order)][1]) for i, r in enumerate(order)]
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+    sizes = [r.n for r in minhash._ranges(df, "doc_id", per_range).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()]
+    if per_range == 5:  # the largest groups of one id have over 60 rows
+        assert max(sizes) <= 20 and len(sizes) > 12
