@@ -34,4 +34,4 @@ def load_all() -> None:
     from cartwheel.plans import (catalog_recs, catalog_clean, catalog_features,  # noqa: F401
                                  catalog_quality, catalog_explore, catalog_baskets,
                                  catalog_eval, catalog_factors, catalog_text,
-                                 catalog_vectors, catalog_stream, catalog_flows)
+                                 catalog_vectors, catalog_stream, catalog_flows, catalog_store)
