@@ -3,7 +3,8 @@
 The reference wrote Delta tables; without a Delta jar the default format is
 parquet.  Overwriting a table that the same plan reads is rejected by Spark
 for non-Delta sources, so :func:`save_table` stages the result under a new
-name and swaps it in.
+name and swaps it in; :func:`save_versioned` keeps snapshots and commits in one
+step.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel.sources import snapshots
 from cartwheel.sources.schemas import RUN_METRICS
 
 
@@ -39,10 +41,12 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
     ``<name>__old``, the staged one takes the name and the old one goes.  A plan
     that reads ``name`` can overwrite it, and whenever the driver is lost the data
     is still there under one of the three names (a metastore without
-    transactions cannot swap two names at once).
+    transactions cannot swap two names at once); the next writer finishes the swap.
+    ``save_versioned`` commits in one step.
     """
     spark = df.sparkSession
     staged = f"{name}__staged"
+    _finish_swap(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
@@ -62,8 +66,35 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
+def _finish_swap(spark: SparkSession, name: str) -> None:
+    """Complete a swap whose driver was lost between the two renames: the old table is
+    renamed only when the staged one is complete, so the staged one takes the name."""
+    staged, old = f"{name}__staged", f"{name}__old"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
+        newest = staged if spark.catalog.tableExists(staged) else old
+        spark.sql(f"ALTER TABLE {newest} RENAME TO {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def versioned_path(spark: SparkSession, name: str) -> str:
+    """The folder of a versioned table, in the warehouse."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/versioned/{name}"
+
+
+def save_versioned(df: DataFrame, name: str, mode: str = "overwrite", partition_by: list | None = None) -> int:
+    """S3-S5 with atomic commits: overwrite (the schema may change) or append to a table
+    that ``read_versioned`` reads; the new version."""
+    return snapshots.write(df, versioned_path(df.sparkSession, name), mode, partition_by)
+
+
+def read_versioned(spark: SparkSession, name: str, version: int | None = None) -> DataFrame:
+    """The newest version of a table, or an older one."""
+    return snapshots.read(spark, versioned_path(spark, name), version)
+
+
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     """S5."""
+    _finish_swap(df.sparkSession, name)
     df.write.mode("append").format(fmt).saveAsTable(name)
 
 

@@ -84,6 +84,28 @@ def test_staged_overwrite_of_self_read_table(spark):
     assert spark.table("t_self").count() == 4
 
 
+def test_a_swap_cut_off_between_its_renames_is_finished(spark):
+    old, new = (spark.createDataFrame([(i,)], "id int") for i in (1, 2))
+    sinks.save_table(old, "t_cut")
+    new.write.saveAsTable("t_cut__staged")
+    spark.sql("ALTER TABLE t_cut RENAME TO t_cut__old")  # here the driver is lost
+    sinks.append_table(spark.createDataFrame([(3,)], "id int"), "t_cut")
+    assert sorted(r.id for r in sinks.read_table(spark, "t_cut").collect()) == [2, 3]
+    assert not spark.catalog.tableExists("t_cut__old") and not spark.catalog.tableExists("t_cut__staged")
+    new.write.saveAsTable("t_cut__staged")  # lost before the first rename: the table is still the old one
+    sinks.save_table(old, "t_cut")
+    assert [r.id for r in sinks.read_table(spark, "t_cut").collect()] == [1]
+
+
+def test_versioned_tables_by_name(spark):
+    name = "t_versions"
+    first = sinks.save_versioned(spark.createDataFrame([(1,)], "id int"), name)
+    sinks.save_versioned(spark.createDataFrame([(2,)], "id int"), name, "append")
+    sinks.save_versioned(sinks.read_versioned(spark, name).withColumn("twice", F.col("id") * 2), name)
+    assert sorted(map(tuple, sinks.read_versioned(spark, name).collect())) == [(1, 2), (2, 4)]
+    assert [tuple(r) for r in sinks.read_versioned(spark, name, first).collect()] == [(1,)]
+
+
 def test_csv_arrays_and_paths(spark, scratch_dir):
     df = spark.createDataFrame([([3, 1], 5, {"a": 1})], "items array<int>, freq long, m map<string,int>")
     path = os.path.join(scratch_dir, "fi_csv")
