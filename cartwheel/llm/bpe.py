@@ -27,6 +27,9 @@ from cartwheel.session import ship_package
 # Unicode White_Space, written out because regular-expression libraries differ in ``\s``.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[^{_SPACE}]+")
+# Categories in which Unicode versions differ: unassigned code points, and marks with
+# their combining classes (those up to U+036F are old).
+_UNSURE = frozenset(("Cn", "Mn", "Mc", "Me"))
 # Private-use area that holds the symbols which end a word.
 _END = 0xE000
 SCHEMA_TAIL = "ids binary, decoded string"
@@ -66,6 +69,7 @@ class Codec:
         import regex
 
         doc = json.loads(spec)
+        self._spec, self._library = spec, None
         model = doc["model"]
         suffix = model.get("end_of_word_suffix") or ""
         if model["type"] != "BPE" or not suffix or model.get("continuing_subword_prefix"):
@@ -75,7 +79,7 @@ class Codec:
             raise ValueError(f"unsupported normalisers {kinds}")
         split = doc["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         pattern = regex.compile(split.replace(r"[^\s", f"[^{_SPACE}"))
-        self._pieces, self._pieces_at = pattern.findall, pattern.finditer
+        self._pieces = pattern.findall
         self._special = {t["content"]: t["id"] for t in doc["added_tokens"]}
         self._special_split = re.compile(
             "(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")").split
@@ -191,17 +195,23 @@ class Codec:
                          for part in self._special_split(chunk)])
 
     def _plain(self, text: str) -> bytes:
-        # Lower-casing goes character by character: no final-sigma rule.
-        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-        if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text):
-            # Libraries differ in the newest code points: what this Unicode
-            # version does not assign is neither letter nor number.
-            shape = "".join(["\u00a6" if unicodedata.category(c) == "Cn" else c for c in text])
-            pieces = [text[m.start():m.end()] for m in self._pieces_at(shape)]
+        if not text.isascii() and max(text) > "\u036f" and any(unicodedata.category(c) in _UNSURE for c in text):
+            pieces = self._by_library(text)
         else:
-            pieces = self._pieces(text)
+            # Lower-casing goes character by character: no final-sigma rule.
+            pieces = self._pieces(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
         return b"".join(map(self._words.__getitem__, pieces))
 
+    def _by_library(self, text: str) -> list[str]:
+        """Pieces of a text with code points on which Unicode versions differ: the
+        library's own tables normalise and split it."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self._spec)
+        whole = self._library.normalizer.normalize_str(text)
+        return [whole[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(whole)]
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as packed little-endian unsigned 32-bit integers."""
         return b"".join(map(self._chunks.__getitem__, _CHUNK.findall(text)))
