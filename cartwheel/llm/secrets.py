@@ -62,24 +62,60 @@ def _limit(bits: float) -> int:
     return math.floor(WINDOW * (math.log2(WINDOW) - bits) * _UNIT)
 
 
-def _spans(text: Column, pattern: str, kind: int, keep) -> Column:
-    """Matches of ``pattern`` that ``keep`` accepts, as (start, kind, end) in code
-    points: a match starts where the gaps and matches before it end."""
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+SPAN = "struct<start:int,kind:int,end:int>"
+# Code points of a block of text, within which places are counted.
+TEXT_BLOCK = 4096
+
+
+def _running(items: Column, kind: str, first: Column, value, join, emit) -> Column:
+    """``emit(total before the item, item)``, an array, for each item in order, flattened.
+
+    ``join`` adds up ``value(item)``, an int, from ``first``.  Appending to one array
+    copies it each time, so items are taken in blocks of about the root of their
+    number: the blocks' totals are added up first, then each block is read with its own
+    array.  That is n ** 1.5 copied references in all.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / width).cast("int")),
+                         lambda c: F.slice(items, c * width + 1, width))
+    totals = F.transform(blocks, lambda b: F.aggregate(b, first, lambda t, x: join(t, value(x))))
+    before = F.aggregate(totals, F.struct(first.alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, t: F.struct(
+        join(acc["at"], t).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+    inner = F.zip_with(before, blocks, lambda t, b: F.aggregate(
+        b, F.struct(t.alias("at"), empty.alias("out")), lambda acc, x: F.struct(
+            join(acc["at"], value(x)).alias("at"), F.concat(acc["out"], emit(acc["at"], x)).alias("out")),
+        lambda acc: acc["out"]))
+    return F.when(F.size(items) == 0, empty).otherwise(F.flatten(inner))
+
+
+def _parts(text: Column, pattern: str, keep) -> Column:
+    """The gaps and matches of ``pattern`` in turn: their sizes, and whether ``keep``
+    accepts the match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.zip_with(F.split(text, pattern, -1), found, lambda gap, hit: F.struct(
-        F.length(gap).alias("gap"), F.length(hit).alias("size"),
+        F.length(gap).alias("gap"), F.coalesce(F.length(hit), F.lit(0)).alias("size"),
         F.coalesce(keep(hit), F.lit(False)).alias("ok")))
-    spans = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.coalesce(p["size"], F.lit(0))).alias("at"),
-            F.when(p["ok"], F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + p["gap"]).alias("start"), F.lit(kind).alias("kind"),
-                (acc["at"] + p["gap"] + p["size"]).alias("end")))))
-            .otherwise(acc["out"]).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+    return F.when(text.rlike(pattern), parts).otherwise(F.array().cast("array<struct<gap:int,size:int,ok:boolean>>"))
+
+
+def _spans(parts: Column, kind: int) -> Column:
+    """Accepted matches as (start, kind, end) in code points: a match starts where the
+    gaps and matches before it end."""
+    def span(at: Column, p: Column) -> Column:
+        own = F.struct((at + p["gap"]).alias("start"), F.lit(kind).alias("kind"), (at + p["gap"] + p["size"]).alias("end"))
+        return F.when(p["ok"], F.array(own)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    return _running(parts, SPAN, F.lit(0), lambda p: p["gap"] + p["size"], lambda t, v: t + v, span)
+
+
+def _uncovered(spans: Column) -> Column:
+    """Of spans sorted by (start, kind): the base ones, and the entropy ones that no base
+    span contains, that is, that end behind every base span that starts no later."""
+    last = KINDS.index("entropy")
+    return _running(spans, SPAN, F.lit(-1), lambda s: F.when(s["kind"] == last, F.lit(-1)).otherwise(s["end"]),
+                    F.greatest, lambda reach, s: F.when(
+                        (s["kind"] == last) & (reach >= s["end"]), F.array().cast(f"array<{SPAN}>")).otherwise(F.array(s)))
 
 
 def least_predictable(candidate: Column) -> Column:
@@ -128,21 +164,23 @@ def scan(df: DataFrame, text: Column, *keep: Column) -> DataFrame:
     Positions count code points, ``end`` is exclusive and ``kind`` indexes
     ``KINDS``.  ``base`` holds the pattern matches, leftmost and not overlapping
     within a kind, ordered by start and kind; ``spans`` also the entropy spans
-    that no base span contains.  A null text counts as empty and has no spans;
-    repeated rows, null keys and other columns pass through unchanged.
+    that no base span contains.  A null text counts as empty and has no spans; texts
+    of any length are read whole; repeated rows, null keys and other columns pass
+    through unchanged; an empty table gives no rows.
     """
     rows = df.select(*keep, null_to_empty(text).alias("_text"))
     value = F.col("_text")
+    kept = [F.col(f"`{c}`") for c in rows.columns[:-1]]
     rows = rows.select(
         "*",
-        _spans(value, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= ASSIGN_VALUE).alias("_assign"),
-        _spans(value, ACCESS, 1, lambda m: m.isNotNull()).alias("_access"),
-        _spans(value, HEX, 2, lambda m: m.isNotNull()).alias("_hex"),
-        _spans(value, CANDIDATE, 3, _surprising).alias("_entropy"))
-    rows = rows.select("*", F.array_sort(F.concat("_assign", "_access", "_hex")).alias("base"))
-    inside = lambda s: F.exists(F.col("base"), lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
-    rows = rows.select("*", F.array_sort(F.concat("base", F.filter("_entropy", lambda s: ~inside(s)))).alias("spans"))
-    return rows.drop("_text", "_assign", "_access", "_hex", "_entropy")
+        _parts(value, ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= ASSIGN_VALUE).alias("_assign"),
+        _parts(value, ACCESS, lambda m: m.isNotNull()).alias("_access"),
+        _parts(value, HEX, lambda m: m.isNotNull()).alias("_hex"),
+        _parts(value, CANDIDATE, _surprising).alias("_entropy"))
+    rows = rows.select(*kept, *(_spans(F.col(c), k).alias(c) for k, c in enumerate(("_assign", "_access", "_hex", "_entropy"))))
+    rows = rows.select(*kept, F.array_sort(F.concat("_assign", "_access", "_hex")).alias("base"), "_entropy")
+    rows = rows.select(*kept, "base", F.array_sort(F.concat("base", "_entropy")).alias("_all"))
+    return rows.select(*kept, "base", _uncovered(F.col("_all")).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -156,15 +194,42 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also where lambdas use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text cut into blocks: a place is searched
+    within its block only."""
+    first, last = F.floor(start / TEXT_BLOCK).cast("int"), F.floor((end - 1) / TEXT_BLOCK).cast("int")
+    head, tail = F.get(blocks, first), F.get(blocks, last)
+    across = F.concat(F.substring(head, start % TEXT_BLOCK + 1, F.lit(TEXT_BLOCK)),
+                      F.array_join(F.slice(blocks, first + 2, last - first - 1), ""),
+                      F.substring(tail, F.lit(1), (end - 1) % TEXT_BLOCK + 1))
+    within = F.substring(head, start % TEXT_BLOCK + 1, end - start)
+    return F.when(start >= end, F.lit("")).when(first == last, within).otherwise(across)
+
+
 def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
-    """The text with every maximal run of overlapping spans replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out")))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))))
+    """The text with every maximal run of overlapping spans (sorted by start) replaced
+    by ``mark``."""
+    gap = "struct<start:int,end:int>"
+
+    def gaps(reach: Column, s: Column) -> Column:
+        """The text between runs, where a span starts a run."""
+        return F.when(s["start"] >= reach, F.array(F.struct(reach.alias("start"), s["start"].alias("end")))).otherwise(
+            F.array().cast(f"array<{gap}>"))
+
+    def joined_up(v: Column) -> Column:
+        cuts = _running(v["spans"], gap, F.lit(0), lambda s: s["end"], F.greatest, gaps)
+        kept = F.transform(cuts, lambda g: F.concat(_piece(v["blocks"], g["start"], g["end"]), F.lit(mark)))
+        end = F.array_max(F.transform(v["spans"], lambda s: s["end"]))
+        return F.concat(F.array_join(kept, ""), _piece(v["blocks"], end, v["size"]))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+    whole = F.struct(blocks.alias("blocks"), spans.alias("spans"), F.length(text).alias("size"))
+    return F.when(F.size(spans) == 0, text).otherwise(_bound(whole, joined_up))
 
 
 def scan_sql() -> str:
