@@ -4,29 +4,33 @@ Linking is exact for any Hamming distance up to ``TAU`` = 2 and never lists the
 pairs of a group:
 
 1. Equal fingerprints are one row from here on, with their least document id.
-2. Pigeonring filter.  The 64 bits are a ring of ``SEGMENTS`` segments.  If two
+2. Candidates by pigeonring.  The 64 bits are a ring of ``SEGMENTS`` segments.  If two
    fingerprints differ in at most ``TAU`` bits, some chain of consecutive
    segments keeps its cumulative differences within ``floor(l * TAU / SEGMENTS)``
    for every length ``l``.  As long as the budget is zero the segments must be
    equal, so each fingerprint gives one key for each start of a chain: the
-   start and the bits of those leading segments (26 of 64).  As long as it is
-   one, the segments after them may differ in one bit: what shares a key gives
-   the bits of the longest such chain (51 or 52 of 64) with one of the later ones
-   left out, for each of them.  A fingerprint that shares none of these keys with
-   another one has no partner and is dropped.
-3. Full check on what is left.  Two values differ in at most two bits exactly if
-   some value is within one bit of both.  Each fingerprint meets that value by
-   giving itself and its 64 one-bit neighbours as keys; everything that meets
-   at a key is linked to the least fingerprint there.  A group of n copies gives
-   65 n rows that are pre-aggregated before the shuffle, not n * n pairs.
+   start and the bits of those leading segments (26 of 64).  Fingerprints that share
+   a key meet: the cumulative differences are followed along the ring, a pair that
+   exceeds a budget is dropped there, and the last budget is the full check.  A group
+   returns a spanning forest of its links, never the links.
+3. Keys that more than ``GROUP_LIMIT`` fingerprints share are left out of that step.
+   Of their fingerprints, those stay that share the bits of the longest chain of
+   budget one (51 or 52 of 64) with one of the later ones left out.  What is left
+   meets through neighbours: two values differ in at most two bits exactly if some
+   value is within one bit of both, so each gives itself and its 64 one-bit neighbours
+   as keys, and everything that meets at a key is linked to the least fingerprint
+   there.  A group of n gives 65 n rows that are pre-aggregated before the shuffle.
 4. Connected components of these links.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +41,8 @@ from cartwheel.session import checkpoint_dir, ship_package
 BITS = 64
 TAU = 2
 SEGMENTS = 5
+# Fingerprints that are compared with one another under one chain key.
+GROUP_LIMIT = 2000
 SEED = 42
 WORDS = 3
 
@@ -151,6 +157,76 @@ def hamming_links(values: DataFrame) -> DataFrame:
     return near.join(hubs, "hub").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
+def _forest(segments: int, tau: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (start, bits, fp) to links that span each group's near pairs."""
+    masks = [[sum(1 << b for b in _chain_bits(start, 0, length, segments)) for length in range(1, segments + 1)]
+             for start in range(segments)]
+
+    def links(start: int, fps: np.ndarray) -> tuple[list[int], list[int]]:
+        """A spanning forest: a breadth-first walk that compares a value only with those
+        not yet reached."""
+        values, left, a, b = fps.view(np.uint64), np.arange(1, len(fps)), [], []
+        queue = [0]
+        while len(left):
+            if not queue:
+                queue, left = [left[0]], left[1:]
+                continue
+            i = queue.pop()
+            near, differ = np.arange(len(left)), values[left] ^ values[i]
+            for length, mask in enumerate(masks[start], 1):
+                near = near[np.bitwise_count(differ[near] & np.uint64(mask)) <= length * tau // segments]
+            found = left[near]
+            a += [int(fps[i])] * len(found)
+            b += fps[found].tolist()
+            queue += found.tolist()
+            left = np.delete(left, near)
+        return a, b
+
+    def done(columns: list[np.ndarray]) -> pa.RecordBatch:
+        start, bits, fp = columns
+        cuts = np.flatnonzero(np.append(True, (start[1:] != start[:-1]) | (bits[1:] != bits[:-1])))
+        a, b = [], []
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(fp))):
+            if hi - lo > 1:
+                x, y = links(int(start[lo]), fp[lo:hi])
+                a += x
+                b += y
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        if held is not None:
+            columns = [np.concatenate(pair) for pair in zip(held, columns)]
+        # The last group of a batch waits for the next one.
+        last = np.flatnonzero((columns[0] != columns[0][-1]) | (columns[1] != columns[1][-1]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        held = [c[cut:] for c in columns]
+        if cut:
+            yield done([c[:cut] for c in columns])
+    if held is not None:
+        yield done(held)
+
+
+def near_links(values: DataFrame, segments: int = SEGMENTS, tau: int = TAU, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """Links ``(a, b)`` that connect every two of the distinct ``fp`` of ``values`` within
+    ``tau`` bits (2 where a key is shared by more than ``group_limit``); every link
+    joins two such values."""
+    keyed = values.select("fp", F.explode(chain_keys(F.col("fp"), segments, tau)).alias("key")).select(
+        "fp", "key.start", "key.bits")
+    sizes = keyed.groupBy("start", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1").checkpoint()
+    met = keyed.join(sizes.where(F.col("n") <= group_limit), ["start", "bits"], "left_semi")
+    ordered = met.select("start", "bits", "fp").repartition("start", "bits").sortWithinPartitions("start", "bits", "fp")
+    links = ordered.mapInArrow(functools.partial(_forest, segments, tau), "a bigint, b bigint")
+    crowded = sizes.where(F.col("n") > group_limit)
+    if crowded.limit(1).count():
+        members = keyed.join(crowded, ["start", "bits"], "left_semi").select("fp").distinct()
+        links = links.unionByName(hamming_links(with_partners(members, segments, tau)))
+    return links
+
+
 def near_duplicates(df: DataFrame, key: Column, text: Column, key_type: str = "bigint") -> DataFrame:
     """Rows ``(doc_id, fingerprint, component_id)``, one for each input row.
 
@@ -163,8 +239,7 @@ def near_duplicates(df: DataFrame, key: Column, text: Column, key_type: str = "b
     checkpoint_dir(df.sparkSession)
     rows = fingerprints(df, key, text, key_type).checkpoint()
     values = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    links = hamming_links(with_partners(values.select("fp")))
-    parts = connected_components(links)
+    parts = connected_components(near_links(values.select("fp")))
     rooted = values.join(parts, values["fp"] == parts["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -184,35 +259,21 @@ def deduplicate(df: DataFrame, key: str, text: str) -> DataFrame:
     checkpoint_dir(spark)
     # One struct holds the input's columns, so none can clash.
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
-    narrow = fingerprints(df, F.col(f"`{key}`"), F.col(f"`{text}`"), df.schema[key].dataType.simpleString()).checkpoint()
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("fp").alias("fp"))
+    columns = [F.col(f"row.`{key}`").alias("id"), F.xxhash64("row").alias("hash"), null_to_empty(F.col(f"row.`{text}`")).alias("text")]
+    narrow = per_text(packed, columns, lambda row_id, hashed, body: (row_id, hashed, fingerprint(body)),
+                      f"id {df.schema[key].dataType.simpleString()}, hash bigint, fp bigint").checkpoint()
+    order = F.struct(F.col("id").isNull().alias("n"), "id", "fp", "hash")
     values = narrow.groupBy("fp").agg(F.min(order).alias("first"))
-    parts = connected_components(hamming_links(with_partners(values.select("fp"))))
+    parts = connected_components(near_links(values.select("fp")))
     rooted = values.join(parts, values["fp"] == parts["node"], "left").select(
         "first", F.coalesce("root", "fp").alias("root"))
-    # One key for the join and the window, so that rows are shuffled once.
-    def place(row_id: Column, fp: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(row_id.cast("string"), F.lit("null")), fp.cast("string")).alias("place")
-
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
-        place(F.col("first.id"), F.col("first.fp")))
-    marked = _with_fp(packed, df.columns.index(text))
-    met = marked.select("row", place(F.col(f"row.`{key}`"), F.col("fp"))).join(kept, "place", "left_semi")
-    one = Window.partitionBy("place").orderBy(F.xxhash64("row"))
-    return met.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
-
-
-def _with_fp(packed: DataFrame, text: int) -> DataFrame:
-    """Add ``fp`` to packed rows, made from field number ``text`` (null counts as empty)."""
-    import pyarrow as pa
-    from pyspark.sql.types import LongType, StructType
 
-    def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                row = batch.column(0).slice(lo, 256)
-                found = [fingerprint(t or "") for t in row.field(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([row, pa.array(found, pa.int64())], names=["row", "fp"])
+    # One key for the join and the window, so that rows are shuffled once.
+    def place(row_id: Column, hashed: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(row_id.cast("string"), F.lit("null")), hashed.cast("string")).alias("place")
 
-    schema = StructType([packed.schema["row"]]).add("fp", LongType())
-    return packed.mapInArrow(run, schema)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(place(F.col("first.id"), F.col("first.hash")))
+    met = packed.select("row", place(F.col(f"row.`{key}`"), F.xxhash64("row"))).join(kept, "place", "left_semi")
+    # Equal rows share a place.
+    one = Window.partitionBy("place").orderBy(F.lit(0))
+    return met.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
