@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import null_to_empty, shuffle_partitions
-from cartwheel.session import ship_package
+from cartwheel.session import checkpoint_dir, ship_package
 
 WINDOW = 20
 # Text bytes of a chunk and entries that one bucket of hashes holds, about.
@@ -270,22 +270,47 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
     others, joined by one space.  Windows are judged on the input.  A null text
     has no words; texts shorter than a window stay whole.  Rows that share an id
     follow each other by a hash of their texts, null ids come last, repeated
-    rows count as separate documents.  Other columns are ignored; an empty table
+    rows count as separate documents: all after the first lose what they repeat, in
+    any number.  Texts of any length are read whole.  Other columns are ignored; an empty table
     gives an empty result.  ``window`` is even and at least 2.
     """
     spark = docs.sparkSession
     ship_package(spark)
+    checkpoint_dir(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), null_to_empty(F.col("text")).alias("text"))
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
+    rows, copies = _without_copies(rows, window)
     # How much there is decides only how finely chunks and buckets are cut.
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = shuffle_partitions(spark)
     chunks = max(2 * parts, -(-size // chunk_bytes))
     buckets = max(parts, -(-size // (5 * bucket_entries)))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("_tie")).select(
-        "*", F.pmod(F.xxhash64("doc_id", "_tie"), F.lit(chunks)).cast("int").alias("_chunk"))
+    rows = rows.select("*", F.pmod(F.xxhash64("doc_id", "_tie"), F.lit(chunks)).cast("int").alias("_chunk"))
     by_chunk = rows.groupBy("_chunk")
     anchors = by_chunk.applyInArrow(_send_anchors(window, buckets), _ANCHORS)
     hits = anchors.groupBy("bucket").applyInArrow(_match_anchors, _ANSWER)
     windows = by_chunk.cogroup(hits.groupBy("_chunk")).applyInArrow(_send_windows(window, buckets), _WINDOWS)
     repeats = windows.groupBy("bucket").applyInArrow(_match_windows, _ANSWER)
-    return by_chunk.cogroup(repeats.groupBy("_chunk")).applyInArrow(_remove(window), _RESULT)
+    kept = by_chunk.cogroup(repeats.groupBy("_chunk")).applyInArrow(_remove(window), _RESULT)
+    return kept if copies is None else kept.unionByName(copies)
+
+
+def _without_copies(rows: DataFrame, window: int) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with the first of equal rows only, and the results of the others, if any.
+
+    Every window of a copy also starts in the first one, so a copy of a window's length
+    or more loses all its words, and no other row's result depends on it.
+    """
+    numbered = rows.withColumn("_id", F.monotonically_increasing_id())
+    repeated = numbered.groupBy("doc_id", "_tie").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")).where(
+        "_n > 1").select(F.col("doc_id").alias("_doc"), F.col("_tie").alias("_same"), "_first").checkpoint()
+    if repeated.limit(1).count() == 0:
+        return rows, None
+    met = numbered.join(repeated, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_tie") == F.col("_same")), "left")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    copies = met.where("_first IS NOT NULL AND _id <> _first").select("doc_id", words.alias("_w"))
+    n = F.size("_w").cast("bigint")
+    whole = n < window
+    return met.where("_first IS NULL OR _id = _first").select(*rows.columns), copies.select(
+        "doc_id", n.alias("n_words"), F.when(whole, F.lit(0).cast("bigint")).otherwise(n).alias("n_removed"),
+        F.when(whole, F.array_join("_w", " ")).otherwise(F.lit("")).alias("kept"))

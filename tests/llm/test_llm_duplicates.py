@@ -91,6 +91,21 @@ def test_repeats_defined_cases(spark):
     assert substrings.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_many_equal_rows_are_one_row_of_the_search(spark):
+    rng = random.Random(2)
+    words = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    hot, short = words(70), "few\n words  "
+    rows = [(i, words(rng.randint(0, 80))) for i in range(60)] + [(7, hot)] * 30 + [(None, hot)] * 40 + [(None, short)] * 20
+    rows += [(8, f"{hot} {words(5)}"), (3, short), (3, short), (None, None), (None, None)]
+    tied = {(r.doc_id, r.text): r.tie for r in frame(spark, rows).select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, tied[r]))
+    got = substrings.remove_repeats(frame(spark, rows).repartition(5), window=6, chunk_bytes=400, bucket_entries=50).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_repeats(order, 6)))
+    plain, copies = substrings._without_copies(frame(spark, rows).select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_tie", F.xxhash64("text")), 6)
+    assert plain.count() == len(set(rows)) and copies.count() == len(rows) - len(set(rows))
+
+
 # --- SimHash -------------------------------------------------------------
 
 def brute_simhash(text):
@@ -157,6 +172,32 @@ def test_chain_filter_is_the_pigeonring_condition(spark, segments):
     assert got == {s for v, s in zip(values, signed) if any(chain(v, w) for w in values if w != v)}
 
 
+@pytest.mark.parametrize("segments, limit", [(5, 2000), (5, 3), (5, 1), (3, 2000), (7, 2000), (7, 4)])
+def test_chain_links_are_complete_and_span_no_more(spark, segments, limit):
+    rng = random.Random(segments * 100 + limit)
+    base = [rng.getrandbits(64) for _ in range(12)] + [0, (1 << 64) - 1, 1 << 63]
+    values = sorted({b ^ m for b in base for m in [0, *(sum({1 << rng.randrange(64) for _ in range(n)})
+                     for n in (1, 1, 1, 2, 2, 2, 3, 3, 4, 5))]} | {rng.getrandbits(64) for _ in range(40)})
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "fp bigint").repartition(3)
+    links = [(signed.index(r.a), signed.index(r.b)) for r in simhash.near_links(df, segments, group_limit=limit).collect()]
+    assert all((values[i] ^ values[j]).bit_count() <= 2 for i, j in links)
+    want = roots(len(values), [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= 2])
+    assert roots(len(values), links) == want
+
+
+def test_a_group_of_near_copies_gives_a_forest():
+    import pyarrow as pa
+
+    values = np.array(sorted([0, *(1 << i for i in range(40, 60)), *(1 << i | 1 << (i + 1) for i in range(40, 59))]), np.int64)
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([0] * len(rows)), pa.array([0] * len(rows)), pa.array(rows)],
+                                                    names=["start", "bits", "fp"])
+    for size in (1, 7, 100):
+        batches = [batch(values[i:i + size]) for i in range(0, len(values), size)]
+        links = [(r["a"], r["b"]) for b in simhash._forest(5, 2, iter(batches)) for r in b.to_pylist()]
+        assert len(links) == len(values) - 1 and all((a ^ b).bit_count() <= 2 for a, b in links)
+
+
 def test_simhash_defined_cases(spark):
     rows = [(7, None), (3, ""), (9, "  "), (4, "one two"), (4, "one two"), (None, "ONE two"), (None, "lonely text of its own words")]
     got = sorted(((r.doc_id if r.doc_id is not None else 99), r.component_id if r.component_id is not None else -1)
