@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from cartwheel.operators.ranking import dense_codes, global_row_number
 from cartwheel.operators.similarity import top_k_per_group
 from cartwheel.operators.sizing import materialize
+from cartwheel.session import ship_package
 
 # Rows of a right block; a left block holds LEFT_BLOCKS times as many.
 BLOCK_ROWS = 8192
@@ -110,6 +111,7 @@ class _Seeded:
 
 
 def _seeded(left: DataFrame, right: DataFrame, k: int, block_rows: int) -> _Seeded:
+    ship_package(left.sparkSession)
     lk, rk = left.columns[0], right.columns[0]
     named = right.select(F.col(rk).alias("key"), "bias", "vec")
     codes = dense_codes(named, "key", "code")
