@@ -1,7 +1,9 @@
 """Work that grew faster than the input: shuffles of the metrics, vectors, word vectors, model hook."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
 from cartwheel.operators import similarity as sim
 
@@ -19,6 +21,17 @@ def test_basket_candidates_are_shuffled_once(spark):
         (7, 1, 4, 0.9), (7, 2, 1, 0.5), (8, 1, 4, 0.9), (8, 2, 1, 0.5)]
 
 
+def test_itemset_candidates_are_shuffled_once(spark, monkeypatch):
+    sets = spark.createDataFrame([(["a"], 9), (["b"], 7), (["a", "b"], 5)], "items array<string>, freq long")
+    bl = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (4, None)], "basket long, item string")
+    want = [(1, "a", 9), (1, "b", 5), (2, "a", 5), (2, "b", 7)]
+    out = B.itemset_candidates(sets, bl, k=10)
+    assert _shuffles(sim.top_k_per_group(out, "basket", [F.desc("score"), F.asc("item")], 10)) == 1
+    assert sorted(tuple(r) for r in out.select("basket", "item", "score").collect()) == want
+    monkeypatch.setattr(B, "BROADCAST_PARTNERS", 0)
+    assert sorted(tuple(r) for r in B.itemset_candidates(sets, bl, k=10).select("basket", "item", "score").collect()) == want
+
+
 def test_precision_recall_needs_one_row_a_user(spark):
     recs = spark.createDataFrame([(1, 5, 1), (1, 6, 2), (1, None, 3), (2, 5, 1), (9, 5, 1)], "user long, item long, rank int")
     truth = spark.createDataFrame([(1, 5), (1, 5), (1, None), (2, 7), (3, 5), (None, 5)], "user long, item long")
