@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
 from cartwheel.operators import similarity as sim
+from cartwheel.operators import vectors as VE
 
 
 def _shuffles(df):
@@ -49,3 +50,11 @@ def test_cosine_pairs_with_and_without_large_baskets(spark):
     df = spark.createDataFrame(rows, "basket long, item long, qty double")
     plain = sorted(tuple(r) for r in sim.cosine_topk(df, k=3).collect())
     assert plain and plain == sorted(tuple(r) for r in sim.cosine_topk(df, k=3, block_items=2).collect())
+
+
+def test_long_vectors_are_computed_once(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, ""), (3, None)], "k long, t string")
+    out = VE.to_long(VE.hash_embed(df, "t", "v", 8), "k", "v")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("vector_to_array") + plan.count("UDF(_nv") <= 1 and "Filter ((size(" not in plan
+    assert {r.k for r in out.collect()} == {1} and out.count() == 8
