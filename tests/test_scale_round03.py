@@ -1,12 +1,14 @@
 """Work that grew faster than the input: shuffles of the metrics, vectors, word vectors, model hook."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
 from cartwheel.operators import similarity as sim
 from cartwheel.operators import vectors as VE
+from cartwheel.operators import wordvectors as WV
 
 
 def _shuffles(df):
@@ -58,3 +60,18 @@ def test_long_vectors_are_computed_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("vector_to_array") + plan.count("UDF(_nv") <= 1 and "Filter ((size(" not in plan
     assert {r.k for r in out.collect()} == {1} and out.count() == 8
+
+
+def test_products_send_the_dense_matrix_once_for_a_group_of_blocks(spark):
+    rng = np.random.default_rng(5)
+    n, block, width = 37, 4, 6
+    m = np.triu(rng.random((n, n)) * (rng.random((n, n)) < 0.3))
+    m = m + m.T
+    entries = spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "i int, j int, v double")
+    x = rng.standard_normal((n, width))
+    batches = [WV._dense_batch(b, x[b * block:(b + 1) * block]) for b in range(-(-n // block))]
+    dense = spark.createDataFrame(pa.Table.from_batches(batches).to_pandas(), WV._DENSE)
+    out = WV.multiply(WV.packed_entries(entries, block), dense, n, block, width)
+    got = {r.block * block + r["at"]: np.frombuffer(r["data"], "<f8").reshape(-1, width) for r in out.collect()}
+    assert np.allclose(np.concatenate([got[k] for k in sorted(got)]), m @ x)
+    assert out.rdd.getNumPartitions() == 1
