@@ -162,13 +162,18 @@ def model_column(model_factory: Callable, return_type, col: str, on_error: str =
             raise TypeError(f"the model's output is not {declared.simpleString()}: {exc}") from exc
         return out
 
-    def one(model: Callable, values: pd.Series):
+    def halved(model: Callable, values: pd.Series) -> list:
+        """Results of a batch that may hold rows the model fails on: halves are scored
+        whole where they can be, down to the rows that fail."""
         try:
-            return checked(model, values).iloc[0]
+            return checked(model, values).tolist()
         except TypeError:
             raise
         except Exception:  # noqa: BLE001 - whatever a user's model raises
-            return blank
+            if len(values) == 1:
+                return [blank]
+        half = len(values) // 2
+        return halved(model, values.iloc[:half]) + halved(model, values.iloc[half:])
 
     @F.pandas_udf(declared)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -177,11 +182,6 @@ def model_column(model_factory: Callable, return_type, col: str, on_error: str =
             if on_error == "raise":
                 yield checked(model, values)
                 continue
-            try:
-                yield checked(model, values)
-            except TypeError:
-                raise
-            except Exception:  # noqa: BLE001 - find the rows that fail
-                yield pd.Series([one(model, values.iloc[i:i + 1]) for i in range(len(values))], dtype=object)
+            yield pd.Series(halved(model, values), dtype=object)
 
     return apply(F.col(col))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
 from cartwheel.operators import similarity as sim
+from cartwheel.operators import textops as TO
 from cartwheel.operators import vectors as VE
 from cartwheel.operators import wordvectors as WV
 
@@ -75,3 +76,20 @@ def test_products_send_the_dense_matrix_once_for_a_group_of_blocks(spark):
     got = {r.block * block + r["at"]: np.frombuffer(r["data"], "<f8").reshape(-1, width) for r in out.collect()}
     assert np.allclose(np.concatenate([got[k] for k in sorted(got)]), m @ x)
     assert out.rdd.getNumPartitions() == 1
+
+
+def test_model_errors_cost_few_further_calls(spark):
+    def counting_model():
+        calls = [0]
+
+        def model(texts):
+            calls[0] += 1
+            if (texts == "bad").any():
+                raise ValueError("bad")
+            return texts.map(lambda t, n=calls[0]: [float(n)])
+        return model
+
+    df = spark.range(256).select("id", F.when(F.col("id") == 100, "bad").otherwise("good").alias("t")).coalesce(1)
+    rows = df.select("id", TO.model_column(counting_model, "array<float>", "t", on_error="empty").alias("v")).collect()
+    assert [r.id for r in rows if not r.v] == [100]
+    assert max(r.v[0] for r in rows if r.v) <= 40
