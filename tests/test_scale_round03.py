@@ -1,5 +1,7 @@
 """Work that grew faster than the input: shuffles of the metrics, vectors, word vectors, model hook."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -63,7 +65,7 @@ def test_long_vectors_are_computed_once(spark):
     assert {r.k for r in out.collect()} == {1} and out.count() == 8
 
 
-def test_products_send_the_dense_matrix_once_for_a_group_of_blocks(spark):
+def test_products_send_the_dense_matrix_once_for_a_group_of_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     n, block, width = 37, 4, 6
     m = np.triu(rng.random((n, n)) * (rng.random((n, n)) < 0.3))
@@ -72,10 +74,14 @@ def test_products_send_the_dense_matrix_once_for_a_group_of_blocks(spark):
     x = rng.standard_normal((n, width))
     batches = [WV._dense_batch(b, x[b * block:(b + 1) * block]) for b in range(-(-n // block))]
     dense = spark.createDataFrame(pa.Table.from_batches(batches).to_pandas(), WV._DENSE)
-    out = WV.multiply(WV.packed_entries(entries, block), dense, n, block, width)
+    chunks = WV.packed_entries(entries, block)
+    monkeypatch.setattr(WV, "materialize", lambda df: df)
+    out = WV.multiply(chunks, dense, n, block, width)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"RepartitionByExpression \[group#\d+\], 1\n", plan)
     got = {r.block * block + r["at"]: np.frombuffer(r["data"], "<f8").reshape(-1, width) for r in out.collect()}
     assert np.allclose(np.concatenate([got[k] for k in sorted(got)]), m @ x)
-    assert out.rdd.getNumPartitions() == 1
+    assert out.rdd.getNumPartitions() == -(-n // block)
 
 
 def test_model_errors_cost_few_further_calls(spark):
