@@ -36,10 +36,13 @@ def process_reviews_text(df: DataFrame) -> DataFrame:
     out = out.withColumn("review_title_clean", TX.clean_text_stop("review_title")).withColumn(
         "review_text_clean", TX.clean_text_stop("review_text"))
     out = C.fill_nulls(out, {"review_title_clean": MISSING_TITLE, "review_text_clean": MISSING_TEXT})
-    return (out.withColumn("stemmed_title", TX.stem3("review_title_clean"))
-               .withColumn("lemmatized_title", TX.lemmatize("review_title_clean"))
-               .withColumn("stemmed_text", TX.stem3("review_text_clean"))
-               .withColumn("lemmatized_text", TX.lemmatize("review_text_clean")))
+    # Each text is split into tokens once, for its stems and its lemmas.
+    out = out.withColumn("_title", TX.ws_tokens(TX.safe_text("review_title_clean"))).withColumn(
+        "_text", TX.ws_tokens(TX.safe_text("review_text_clean")))
+    return (out.withColumn("stemmed_title", TX.stem3_tokens("_title"))
+               .withColumn("lemmatized_title", TX.lemmatize_tokens("_title"))
+               .withColumn("stemmed_text", TX.stem3_tokens("_text"))
+               .withColumn("lemmatized_text", TX.lemmatize_tokens("_text")).drop("_title", "_text"))
 
 
 def clean_mapping(df: DataFrame) -> DataFrame:

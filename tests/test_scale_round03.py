@@ -12,6 +12,7 @@ from cartwheel.operators import similarity as sim
 from cartwheel.operators import textops as TO
 from cartwheel.operators import vectors as VE
 from cartwheel.operators import wordvectors as WV
+from cartwheel.plans import flows as FL
 
 
 def _shuffles(df):
@@ -99,3 +100,11 @@ def test_model_errors_cost_few_further_calls(spark):
     rows = df.select("id", TO.model_column(counting_model, "array<float>", "t", on_error="empty").alias("v")).collect()
     assert [r.id for r in rows if not r.v] == [100]
     assert max(r.v[0] for r in rows if r.v) <= 40
+
+
+def test_review_texts_are_split_once_for_stems_and_lemmas(spark):
+    df = spark.createDataFrame([("Loved it", "The days were\u00a0long"), (None, ""), ("", None)], "review_title string, review_text string")
+    out = FL.process_reviews_text(df).select("stemmed_title", "lemmatized_title", "stemmed_text", "lemmatized_text")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 4
+    assert [tuple(r) for r in out.collect()] == [
+        ("lov", "love", "day lon", "day long"), ("tit", "title", "", ""), ("", "", "rev", "review")]
