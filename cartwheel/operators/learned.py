@@ -71,7 +71,8 @@ def fit_topics(df: DataFrame, text: str, k: int = N_TOPICS, max_iter: int = 20,
                vocabulary: int = 1 << 16, seed: int = 42) -> TopicModel:
     """Topic model of a text column.  ``vocabulary`` bounds the model to the most
     frequent words that at least ``min_docs`` texts have; stop words are left out."""
-    words = materialize(_topic_words(df, text, "_words").select("_words").where(F.size("_words") > 0))
+    # The filter comes after the words are stored: before, it would split each text again.
+    words = materialize(_topic_words(df, text, "_words").select("_words")).where(F.size("_words") > 0)
     counter = CountVectorizer(inputCol="_words", outputCol="_counts", minDF=float(min_docs), vocabSize=vocabulary).fit(words)
     lda = LDA(k=k, maxIter=max_iter, optimizer="online", featuresCol="_counts", topicDistributionCol="_shares", seed=seed)
     topics = lda.fit(counter.transform(words))
