@@ -7,7 +7,7 @@ agree.  A word takes the rule of its longest suffix that has one; pairs that the
 rules get wrong are exceptions, looked up by the word itself.
 
 Pairs, rules and exceptions are tables of any size and meet the words in equi-joins.
-A text's words are looked up once for each distinct word of the whole table.
+A lemma is found once for each distinct word of the whole table.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ MIN_SUPPORT = 2
 MIN_SHARE = 0.6
 # Letters that a rule must leave of a word.
 MIN_STEM = 2
+# Changed words that every task may hold; a larger table meets the words in a shuffle.
+BROADCAST_WORDS = 200_000
 
 
 def _suffixes(df: DataFrame, shortest: Column, max_suffix: int) -> DataFrame:
@@ -73,15 +75,26 @@ def lemma_table(words: DataFrame, rules: DataFrame, exceptions: DataFrame) -> Da
 
 def lemmatize_texts(df: DataFrame, text: Column, rules: DataFrame, exceptions: DataFrame, out: str = "lemmas") -> DataFrame:
     """Add the text of lemmas, joined by one space (null and empty texts: ``''``).  All
-    columns of ``df`` are kept, repeated rows as well."""
+    columns of ``df`` are kept, repeated rows as well.
+
+    Only the words that have another lemma are looked up in the texts; what is found is
+    merged into the text's own words by place."""
     columns = [F.col(f"`{c}`") for c in df.columns]
     rows = materialize(df.select(F.struct(*columns).alias("row"), F.monotonically_increasing_id().alias("id"),
                                  ws_tokens(safe_text(text)).alias("tokens")))
-    tokens = rows.select("id", F.posexplode("tokens").alias("at", "word"))
-    table = lemma_table(tokens.select("word").distinct(), rules, exceptions)
-    texts = tokens.join(table, "word").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "lemma"))).alias("l"))
-    joined = F.array_join(F.transform("l", lambda x: x["lemma"]), " ")
-    return rows.join(texts, "id", "left").select("row.*", F.coalesce(joined, F.lit("")).alias(out))
+    table = lemma_table(rows.select(F.explode("tokens").alias("word")).distinct(), rules, exceptions)
+    changed = materialize(table.where("lemma <> word"))
+    if changed.count() <= BROADCAST_WORDS:
+        changed = F.broadcast(changed)
+    met = rows.select("id", F.posexplode("tokens").alias("at", "word")).join(changed, "word")
+    found = met.groupBy("id").agg(F.collect_list(F.struct("at", F.lit(0).alias("own"), F.col("lemma").alias("word"))).alias("found"))
+    # By place, a lemma before the word it stands for; both lists are sorted, so this is a merge.
+    own = F.transform("tokens", lambda w, i: F.struct(i.alias("at"), F.lit(1).alias("own"), w.alias("word")))
+    merged = rows.join(found, "id", "left").withColumn(
+        "merged", F.when(F.col("found").isNotNull(), F.sort_array(F.concat(own, F.sort_array("found")))))
+    first = F.filter("merged", lambda x, i: (x["own"] == 0) | (i == 0) | (F.get("merged", i - 1)["at"] < x["at"]))
+    words = F.when(F.col("merged").isNull(), F.col("tokens")).otherwise(F.transform(first, lambda x: x["word"]))
+    return merged.select("row.*", F.array_join(words, " ").alias(out))
 
 
 def lemmas_sql(pairs: dict, key: str, tokens: str, source: str, out: str) -> str:

@@ -1,7 +1,13 @@
 """Cost of the learned topics and lemmas: each text is split once, and cheaply; tokens are shuffled once."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from cartwheel.functions import text as TX
 from cartwheel.operators import learned as L
+from cartwheel.operators import lemmatiser as LM
+
+PAIRS = [("cats", "cat"), ("dogs", "dog"), ("hats", "hat"), ("is", "be"), ("men", "man")]
 
 
 def test_white_space_is_not_a_class_of_ranges(spark):
@@ -25,3 +31,20 @@ def test_topics_split_each_text_once(spark, monkeypatch):
     model = L.fit_topics(df, "t", k=2, max_iter=1, min_docs=1)
     assert set(model.counter.vocabulary) == {"cream", "skin", "face"}
     assert plans[0].count("split(") == 1
+
+
+@pytest.mark.parametrize("limit", [LM.BROADCAST_WORDS, 0])
+def test_lemmas_are_merged_by_place(spark, monkeypatch, limit):
+    monkeypatch.setattr(LM, "BROADCAST_WORDS", limit)
+    rules, exceptions = LM.learn_rules(spark.createDataFrame(PAIRS, "word string, lemma string"))
+    rows = [(1, "cats x is x cats men"), (1, "cats x is x cats men"), (2, "x y"), (3, ""), (None, None),
+            (4, "men " * 3000 + "y")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    out = LM.lemmatize_texts(df, F.col("t"), rules, exceptions, "l")
+    got = sorted(((r.id or 0, r.t, r.l) for r in out.collect()), key=lambda r: r[0])
+    assert [(i, x) for i, _, x in got] == [(0, ""), (1, "cat x be x cat man"), (1, "cat x be x cat man"), (2, "x y"),
+                                           (3, ""), (4, "man " * 3000 + "y")]
+    assert [t for _, t, _ in got] == [None, rows[0][1], rows[0][1], "x y", "", rows[5][1]]
+    if limit:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(word" not in plan
