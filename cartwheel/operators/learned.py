@@ -132,24 +132,28 @@ def with_negated_words(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     pattern = F.lit(r"(\p{L}+(?:'\p{L}+)?|[.,;:!?])")
     staged = df.withColumn("_marks", F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), pattern, 1))
-    marks = F.col("_marks")
 
     def is_word(w: Column) -> Column:
-        return F.coalesce(~w.isin(list(".,;:!?")), F.lit(False))
+        return ~w.isin(list(".,;:!?"))
 
     def turns(w: Column) -> Column:
-        return F.coalesce(w.isin(NEGATIONS) | w.endswith("n't"), F.lit(False))
+        return w.isin(NEGATIONS) | w.endswith("n't")
+
+    # 0 punctuation, 1 word, 2 negation; null where a text has no negation to reach a word.
+    kinds = F.transform("_marks", lambda w: F.when(turns(w), F.lit(2)).otherwise(is_word(w).cast("int")))
+    staged = staged.withColumn("_kinds", F.when(F.exists("_marks", turns), kinds))
 
     def reached(i: Column) -> Column:
         hit, open_ = F.lit(False), F.lit(True)
         for back in range(1, SCOPE + 1):
-            before = F.get(marks, i - back)
-            hit = hit | (open_ & turns(before))
-            open_ = open_ & is_word(before)
-        return hit
-
-    marked = F.transform(marks, lambda w, i: F.when(is_word(w), F.when(reached(i), F.concat(F.lit("not_"), w)).otherwise(w)))
-    return staged.withColumn(out, F.filter(marked, lambda w: w.isNotNull())).drop("_marks")
+            before = F.get("_kinds", i - back)
+            hit = hit | (open_ & (before == 2))
+            open_ = open_ & (before > 0)
+        return F.coalesce(hit, F.lit(False))
+
+    marked = F.transform("_marks", lambda w, i: F.when((F.get("_kinds", i) > 0) & reached(i), F.concat(F.lit("not_"), w)).otherwise(w))
+    words = F.filter(F.when(F.col("_kinds").isNull(), F.col("_marks")).otherwise(marked), is_word)
+    return staged.withColumn(out, words).drop("_marks", "_kinds")
 
 
 def _features(features: int) -> PipelineModel:

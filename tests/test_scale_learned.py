@@ -1,5 +1,8 @@
 """Cost of the learned topics and lemmas: each text is split once, and cheaply; tokens are shuffled once."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,3 +51,29 @@ def test_lemmas_are_merged_by_place(spark, monkeypatch, limit):
     if limit:
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(word" not in plan
+
+
+def _negated(text):
+    """The rule word by word: a negation reaches three words unless punctuation ends it."""
+    marks = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.,;:!?]", text.lower())
+    out = []
+    for i, w in enumerate(marks):
+        if w in ".,;:!?":
+            continue
+        before = marks[max(0, i - L.SCOPE):i]
+        open_ = next((n for n, b in enumerate(reversed(before)) if b in ".,;:!?"), len(before))
+        near = before[len(before) - open_:]
+        out.append("not_" * any(b in L.NEGATIONS or b.endswith("n't") for b in near) + w)
+    return out
+
+
+def test_negations_are_classified_once_a_word(spark):
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choices(["not", "isn't", "a", "b", "no", ",", ".", "été", "won't.", "n't", "x!no"], k=rnd.randint(0, 12)))
+             for _ in range(300)] + ["a b, c.", "not", ", not , a", "no no no no a b c d", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).cache()
+    out = L.with_negated_words(df, "t", "w")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("InMemoryRelation")[0].count("EndsWith(") <= 2
+    assert plan.count("regexp_extract_all") == 1
+    assert [(r.t, r.w) for r in out.collect()] == [(t, _negated(t)) for t in texts]
