@@ -1,5 +1,7 @@
 """Cleaning operators, features and global ranking on hand-made frames."""
 
+import os
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -176,3 +178,27 @@ def test_null_sessions_get_null_features(spark):
     got = sorted(((r.user_session, r.product_id, r.frequency, r.session_diversity, r.popularity, r.recency) for r in out.collect()), key=str)
     assert got == sorted([("s", 1, 2, 1, 1, 2), ("s", 1, 2, 1, 1, 2), (None, 1, None, None, 1, 2), (None, 2, None, None, None, 2)], key=str)
     assert sorted(out.columns) == sorted([*df.columns, "recency", "frequency", "session_diversity", "popularity"])
+
+
+def test_mapped_reviews_lie_event_by_event(spark, scratch_dir):
+    n = 20
+    reviews = spark.range(2000).select(F.col("id").alias("review_id"), F.col("id").alias("product_id"))
+    reviews = reviews.unionByName(spark.createDataFrame([(5000, None), (1, 1)], "review_id long, product_id long"))
+    mapping = spark.range(2000).select((F.col("id") % n).alias("product_id_events"), F.col("id").alias("product_id_reviews"))
+    events = spark.range(2000).select(F.col("id").alias("event_id"), (F.col("id") * 7919 % n).alias("product_id"))
+    events = events.unionByName(spark.createDataFrame([(9000, None), (9001, 99), (3, 1)], "event_id long, product_id long"))
+    out = FE.mapped_reviews(reviews, mapping, events, review_rows=40, event_rows=60)
+    assert out.columns == ["cosmetic_product_id", "review_product_id", "review_id", "event_id"]
+    rows = [tuple(r) for r in out.select("cosmetic_product_id", "review_id", "event_id").collect()]
+    ids = list(range(2000))
+    exp = [(p, r, e) for p in range(n)
+           for r in [i for i in ids + [1] if i % n == p]
+           for e in [i for i in ids if i * 7919 % n == p] + ([3] if p == 1 else [])]
+    assert sorted(rows) == sorted(exp)
+    # Neighbouring rows share their event: few changes for many rows.
+    changes = sum(a[2] != b[2] for a, b in zip(rows, rows[1:]))
+    assert changes < len(rows) / 10
+    path = f"{scratch_dir}/mapped_reviews"
+    FE.mapped_reviews(reviews, mapping, events).select("review_id", "cosmetic_product_id", "event_id").write.parquet(path)
+    held = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path))
+    assert held < 0.7 * len(rows)
