@@ -1,7 +1,9 @@
 """Step 4 queries: data-quality checks Q1–Q11."""
 
 import functools
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from cartwheel.plans import oracle_views as V
 from cartwheel.plans.catalog_baskets import MIN_CONFIDENCE, MIN_SUPPORT
 from cartwheel.plans.catalog_recs import COSINE_WIDE_SQL
 from cartwheel.plans.registry import register
+from cartwheel.session import checkpoint_dir, ship_package
 from cartwheel.sources import schemas, tables
 
 _REVIEW_COLS = ["review_id", "product_id", "brand_name", "review_title", "review_text", "lang",
@@ -129,16 +132,29 @@ def model_output_checks(spark, sf_dir):
     required columns and are not empty."""
     from cartwheel.operators import baskets as B
     from cartwheel.operators import factors as FA
-    baskets = B.build_baskets(tables.order_baskets(spark, sf_dir, item="brand"))
-    model = B.fit_fpgrowth(baskets, MIN_SUPPORT, MIN_CONFIDENCE)
     ev = tables.interactions(spark, sf_dir, with_attributes=False)
-    purchases = ev.where(F.col("event_type") == "purchase").select(
-        F.col("user_session").alias("user"), F.col("product_id").alias("item"), F.lit(1.0).alias("score")
-    ).where(F.col("item").isNotNull())
-    als = FA.fit_als(purchases)
-    ncf = FA.fit_biased(FA.ncf_interactions(C.valid_events(ev), user="user_id"))
-    frames = {"fp_itemsets": B.frequent_itemsets(model), "fp_rules": B.association_rules(model),
-              "als_user_recs": FA.recommend_items(als, 10), "als_item_recs": FA.recommend_users(als, 10),
-              "ncf_recs": FA.recommend_items(ncf, 10)}
+
+    def itemsets():
+        baskets = B.build_baskets(tables.order_baskets(spark, sf_dir, item="brand"))
+        model = B.fit_fpgrowth(baskets, MIN_SUPPORT, MIN_CONFIDENCE)
+        return {"fp_itemsets": B.frequent_itemsets(model), "fp_rules": B.association_rules(model)}
+
+    def als():
+        purchases = ev.where(F.col("event_type") == "purchase").select(
+            F.col("user_session").alias("user"), F.col("product_id").alias("item"), F.lit(1.0).alias("score")
+        ).where(F.col("item").isNotNull())
+        model = FA.fit_als(purchases)
+        return {"als_user_recs": FA.recommend_items(model, 10), "als_item_recs": FA.recommend_users(model, 10)}
+
+    def ncf():
+        model = FA.fit_biased(FA.ncf_interactions(C.valid_events(ev), user="user_id"))
+        return {"ncf_recs": FA.recommend_items(model, 10)}
+
+    # The three models do not need each other; each is many small jobs, so they run side by side.
+    checkpoint_dir(spark)
+    ship_package(spark)
+    with ThreadPoolExecutor(3) as pool:
+        models = [pool.submit(inheritable_thread_target(spark)(f)) for f in (itemsets, als, ncf)]
+        frames = {name: frame for m in models for name, frame in m.result().items()}
     checks = [Q.model_output_check(frames[name], name, cols) for name, cols in _MODEL_OUTPUTS.items()]
     return functools.reduce(DataFrame.unionByName, checks)

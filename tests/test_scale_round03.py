@@ -1,6 +1,7 @@
 """Work that grew faster than the input: shuffles of the metrics, vectors, word vectors, model hook."""
 
 import re
+import threading
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import baskets as B
 from cartwheel.operators import evaluate as EV
+from cartwheel.operators import factors as FA
 from cartwheel.operators import similarity as sim
 from cartwheel.operators import textops as TO
 from cartwheel.operators import vectors as VE
@@ -108,3 +110,39 @@ def test_review_texts_are_split_once_for_stems_and_lemmas(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 4
     assert [tuple(r) for r in out.collect()] == [
         ("lov", "love", "day lon", "day long"), ("tit", "title", "", ""), ("", "", "rev", "review")]
+
+
+def test_als_computes_its_ratings_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def name(n):
+        seen.add(1)
+        return f"u{n % 7}"
+
+    rows = spark.range(60).select(F.udf(name, "string")("id").alias("user"), (F.col("id") % 5).alias("item"), F.lit(1.0).alias("score"))
+    model = FA.fit_als(rows, rank=2, max_iter=1)
+    assert seen.value == 60
+    assert {r.user for r in model.users.collect()} == {f"u{n}" for n in range(7)} and model.items.count() == 5
+
+
+def test_model_output_checks_fit_the_models_side_by_side(spark, scratch_dir, monkeypatch):
+    from cartwheel.plans import catalog_quality as CQ
+    both = threading.Barrier(3, timeout=60)
+
+    def meet(f):
+        def run(*args, **kw):
+            both.wait()
+            return f(*args, **kw)
+        return run
+
+    monkeypatch.setattr("cartwheel.operators.baskets.fit_fpgrowth", meet(B.fit_fpgrowth))
+    monkeypatch.setattr(FA, "fit_biased", meet(FA.fit_biased))
+    plain = FA.fit_als
+    monkeypatch.setattr(FA, "fit_als", lambda *a, **kw: meet(plain)(*a, **kw) if kw.get("implicit", True) else plain(*a, **kw))
+    spark.range(60).selectExpr("id div 3 AS l_orderkey", "id % 3 AS l_partkey", "1.0D AS l_quantity").write.parquet(f"{scratch_dir}/outputs/lineitem.parquet")
+    spark.range(3).selectExpr("id AS p_partkey", "concat('b', id) AS p_brand").write.parquet(f"{scratch_dir}/outputs/part.parquet")
+    spark.range(60).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-02 00:00:00' AS ts", "id % 7 AS user_id",
+                               "if(id % 2 = 0, 'purchase', 'view') AS event_type", "1.0D AS value",
+                               "concat('{\"k\": ', id % 5, '}') AS props").write.parquet(f"{scratch_dir}/outputs/events.parquet")
+    rows = CQ.model_output_checks(spark, f"{scratch_dir}/outputs").collect()
+    assert len(rows) == 10 and {r.status for r in rows} == {"pass"}
