@@ -64,11 +64,14 @@ sentiment AS (
 @register("sentiment", SENTIMENT_CTE.replace("WITH " + V.REVIEWS, "WITH " + V.REVIEWS + ",")
           + "SELECT review_id, sentiment_label, sentiment_score FROM sentiment")
 def sentiment(spark, sf_dir):
-    rv = tables.reviews(spark, sf_dir).select("review_id", "review_text")
-    rv = rv.withColumn("_tok", F.coalesce(TX.letter_tokens("review_text"), F.array().cast("array<string>")))
-    rv = TO.add_sentiment(rv, "_tok", "review_text", "s", POSITIVE, NEGATIVE)
-    return rv.select("review_id", F.col("s")[0]["label"].alias("sentiment_label"),
-                     F.round(F.col("s")[0]["score"], 9).alias("sentiment_score"))
+    # Texts are scored where they are read; only the scores meet the labels, which say
+    # how often a document is a review.
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("_tok", F.coalesce(TX.letter_tokens("text"), F.array().cast("array<string>")))
+    docs = TO.add_sentiment(docs, "_tok", "text", "s", POSITIVE, NEGATIVE).select("doc_id", F.get("s", F.lit(0)).alias("s"))
+    rv = tables.labelled(spark, sf_dir, docs)
+    return rv.select(F.col("doc_id").alias("review_id"), F.col("s.label").alias("sentiment_label"),
+                     F.round("s.score", 9).alias("sentiment_score"))
 
 
 @register("topic_engagement", (TOPIC_CTE + """, joined AS (

@@ -59,14 +59,18 @@ def interactions(spark: SparkSession, sf_dir: str, with_attributes: bool = True)
     return (df.join(part, df.product_id == part._pk, "left").drop("_pk"))
 
 
+def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Rows of documents with their labels, once for each label (unlabelled ones once)."""
+    return docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents (+ labels) in the reference's review shape; numerics and dates stay
     strings.  As in a shop export, some are malformed: German prices carry a
     currency, French dates are missing, and short texts have no title."""
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels")
     title = F.substring_index(F.col("text"), "\n", 1)
-    return (docs.join(labels, "doc_id", "left").select(
+    return (labelled(spark, sf_dir, docs).select(
         F.col("doc_id").alias("review_id"),
         F.col("doc_id").alias("product_id"),
         F.col("source").alias("brand_name"),
